@@ -82,19 +82,22 @@ class ByteBPE(dict):
         self.limit = memo
         self.ids = ids
         self.hash = PerfectHash(tokens)
-        self.rank = dict(zip(tokens, ids))
-        self.text = dict(zip(ids, tokens))
-        self.single = [self.rank.get(bytes([b]), -1) for b in range(256)]
+        rank = dict(zip(tokens, ids))
+        self.single = [rank.get(bytes([b]), -1) for b in range(256)]
         if min(self.single) < 0:
             raise ValueError("the vocabulary lacks single bytes")
         self.pair: dict[int, int] = {}
         for t, i in zip(tokens, ids):
             for k in range(1, len(t)):
-                a = self.rank.get(t[:k])
-                if a is not None and (b := self.rank.get(t[k:])) is not None:
+                a = rank.get(t[:k])
+                if a is not None and (b := rank.get(t[k:])) is not None:
                     self.pair[a << 20 | b] = i
         self.split = regex.compile(PATTERN).findall
 
+    def __reduce__(self):
+        """Travels ready built, without the memo."""
+        return _rebuilt, ({k: v for k, v in self.__dict__.items() if k != "split"},)
+
     @classmethod
     def from_ranks(cls, path: str, memo: int = MEMO) -> ByteBPE:
         """From a file of lines 'base64 rank'."""
@@ -160,7 +163,15 @@ class ByteBPE(dict):
         return b"".join(map(self.__getitem__, self.split(text)))
 
 
-_LOADED: dict[str, ByteBPE] = {}
+def _rebuilt(state: dict) -> ByteBPE:
+    bpe = ByteBPE.__new__(ByteBPE)
+    bpe.__dict__.update(state, split=regex.compile(PATTERN).findall)
+    return bpe
+
+
+#: Of this process, by path and size of the vocabulary file.
+_BUILT: dict[tuple[str, int], ByteBPE] = {}
+_HERE: dict[tuple[str, int], ByteBPE] = {}
 
 
 def vocabulary(name: str, root: str = TOKENIZERS) -> str:
@@ -174,17 +185,22 @@ def vocabulary(name: str, root: str = TOKENIZERS) -> str:
 def encode_corpus(df: DataFrame, id_col: str, text_col: str = "text", ids_col: str = "ids", ranks: str | None = None) -> DataFrame:
     """One row ``(id_col, ids_col)`` for each row of ``df``.
 
-    ``ranks`` is the path of the vocabulary on every executor. Empty and null
+    ``ranks`` is the path of the vocabulary; its tables are built once and
+    broadcast (their size is that of the vocabulary). Empty and null
     texts get the empty list. Texts of any length are encoded whole; special
     tokens are neither added nor recognised. Repeated rows stay repeated;
     other columns of ``df`` are not read.
     """
     path = ranks or vocabulary("byte_bpe_50k.tiktoken")
+    name = path, os.path.getsize(path)
+    if name not in _BUILT:
+        _BUILT[name] = ByteBPE.from_ranks(path)
+    sent = df.sparkSession.sparkContext.broadcast(_BUILT[name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _LOADED:
-            _LOADED[path] = ByteBPE.from_ranks(path)
-        bpe = _LOADED[path]
+        if name not in _HERE:  # a worker keeps the memo from task to task
+            _HERE[name] = sent.value
+        bpe = _HERE[name]
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
