@@ -169,6 +169,13 @@ def _rebuilt(state: dict) -> ByteBPE:
     return bpe
 
 
+def _own(name: tuple[str, int], sent) -> ByteBPE:
+    """This process's encoder; a worker keeps it, and its memo, from task to task."""
+    if name not in _HERE:
+        _HERE[name] = sent.value
+    return _HERE[name]
+
+
 #: Of this process, by path and size of the vocabulary file.
 _BUILT: dict[tuple[str, int], ByteBPE] = {}
 _HERE: dict[tuple[str, int], ByteBPE] = {}
@@ -198,9 +205,7 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str = "text", ids_col: s
     sent = df.sparkSession.sparkContext.broadcast(_BUILT[name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _HERE:  # a worker keeps the memo from task to task
-            _HERE[name] = sent.value
-        bpe = _HERE[name]
+        bpe = _own(name, sent)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
