@@ -7,10 +7,23 @@ from pyspark.sql import functions as F
 
 from ..tables import table
 from .leaks import leak_report, leaked_spans
+from .representatives import Representatives
 from .spans import SharedSpans
 from .tokenize import encode_corpus
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Representatives(table(spark, sf_dir, "candidates")).survivors().select("row_id")
+
+
+def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Representatives(table(spark, sf_dir, "candidates")).trusted()
+
+
+def p6_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Representatives(table(spark, sf_dir, "candidates")).values()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id")
 
@@ -39,6 +52,21 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).shared().select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), "shared_chars", "links")
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+
+SQL: dict[str, str] = {
+    "p6_found": """
+SELECT row_id FROM (
+  SELECT row_id, value,
+    count(*) OVER (PARTITION BY batch_id, research_id, year, indicator, geographic_scope) AS n,
+    row_number() OVER (
+      PARTITION BY batch_id, research_id, year, indicator, geographic_scope
+      ORDER BY value IS NULL,
+        CASE source_class WHEN 'yearbook' THEN 0 WHEN 'communique' THEN 1 WHEN 'government_document' THEN 2 ELSE 3 END,
+        edition DESC NULLS LAST,
+        (city IS NULL)::INT + (unit IS NULL)::INT + (value_text IS NULL)::INT + (capture_manifest IS NULL)::INT,
+        extracted_at DESC NULLS LAST, row_id) AS rn
+  FROM candidates WHERE research_id IS NOT NULL AND withdrawn_at IS NULL
+) WHERE n > 1 AND rn = 1 AND value IS NOT NULL
+""",
+}
