@@ -6,12 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import table
+from .forms import consistent_forms
 from .leaks import leak_report, leaked_spans
 from .representatives import Representatives
 from .spans import SharedSpans
 from .tokenize import encode_corpus
 
 
+#: Fields that come in one consistent form: table, id and field.
+FORMS = (("layout", "word_id", "text"), ("candidates", "row_id", "city"), ("candidates", "row_id", "value_text"))
+
+
+def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for name, key, field in FORMS:
+        one = consistent_forms(table(spark, sf_dir, name), [key], field)
+        one = one.select(F.lit(f"{name}.{field}").alias("field"), F.col(key).alias("row_id"), "form", "changed")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_forms(spark, sf_dir).where("changed").select("field", "row_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Representatives(table(spark, sf_dir, "candidates")).survivors().select("row_id")
 
@@ -52,7 +70,7 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).shared().select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), "shared_chars", "links")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p2_forms, p2_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
 
 SQL: dict[str, str] = {
     "p6_found": """
