@@ -213,15 +213,15 @@ class Rewriter:
         return self.slash.sub("/", text)
 
 
-_HERE: dict[int, Rewriter] = {}
+_HERE: dict[str, Rewriter] = {}
 
 
-def _own(sent) -> Rewriter:
-    """This process's rewriter for some counts."""
-    if sent.id not in _HERE:
+def _own(name: str, sent) -> Rewriter:
+    """This process's rewriter for the counts of a run."""
+    if name not in _HERE:
         _HERE.clear()
-        _HERE[sent.id] = Rewriter(sent.value)
-    return _HERE[sent.id]
+        _HERE[name] = Rewriter(sent.value)
+    return _HERE[name]
 
 
 def _members() -> set[str]:
@@ -261,10 +261,11 @@ def consistent_forms(df: DataFrame, key: list[str], text: str) -> DataFrame:
     changed, empty stays empty. Repeated rows stay repeated, texts of any
     length are rewritten whole, other columns are dropped.
     """
-    sent = df.sparkSession.sparkContext.broadcast(frequencies(df, text))
+    counts = frequencies(df, text)
+    sent, name = df.sparkSession.sparkContext.broadcast(counts), repr(sorted(counts.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = _own(sent).form
+        form = _own(name, sent).form
         for b in batches:
             texts = b.column(len(key)).to_pylist()
             forms = [t if not t else form(t) for t in texts]

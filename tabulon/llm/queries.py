@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from ..tables import table
 from .forms import consistent_forms
 from .leaks import leak_report, leaked_spans
+from .mojibake import garbled_rows
 from .representatives import Representatives
 from .spans import SharedSpans
 from .tokenize import encode_corpus
 
 
+def p1_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled_rows(table(spark, sf_dir, "captures"), "capture_id", "document_title")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_titles(spark, sf_dir).select("capture_id")
+
+
 #: Fields that come in one consistent form: table, id and field.
 FORMS = (("layout", "word_id", "text"), ("candidates", "row_id", "city"), ("candidates", "row_id", "value_text"))
 
@@ -70,7 +79,7 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).shared().select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), "shared_chars", "links")
 
 
-QUERIES = {f.__name__: f for f in (p2_forms, p2_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_titles, p1_found, p2_forms, p2_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
 
 SQL: dict[str, str] = {
     "p6_found": """
