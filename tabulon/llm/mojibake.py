@@ -10,6 +10,7 @@ than the text found.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -114,9 +115,10 @@ _RUN = re.compile("[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*")
 
 @dataclass
 class Classifier:
-    """Log-probabilities of the hashed bigrams: row 0 the clean class, row i+1 ``CHAINS[i]``."""
+    """Log-probabilities of the hashed bigrams, row 0 the clean class, row i+1 ``CHAINS[i]``; and the characters of the clean titles."""
 
     weights: np.ndarray
+    known: frozenset[str]
 
     @classmethod
     def fit(cls, titles: list[str], seed: int = 7) -> Classifier:
@@ -146,7 +148,9 @@ class Classifier:
                 cut = int(rng.integers(0, len(t) + 1))
                 out.append(garble(t[:cut], chain) + t[cut:] if rng.random() < 0.5 else t[:cut] + garble(t[cut:], chain))
             add(i + 1, out)
-        return cls(np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+        seen = Counter(c for t in titles for c in set(t))
+        least = 2 if len(titles) > 1000 else 1  # one clean title may still be garbled unnoticed
+        return cls(np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), frozenset(c for c, n in seen.items() if n >= least))
 
     def clean(self, text: str) -> float:
         """Log-odds of the text between the clean class and chance."""
@@ -162,9 +166,11 @@ class Classifier:
     def best(self, text: str) -> tuple[float, int, str] | None:
         """(gain in nats, chain, restored text) of the inversion that makes the text likeliest, of equals the chain predicted first."""
         order, sure = self.ranking(text)
-        base, best = self.clean(text), None
+        base, best, had = self.clean(text), None, set(text)
         for i in order:
             for got in self._inversions(text, CHAINS[i], sure < DOUBT or _symbols(text)):
+                if not self.known.issuperset(set(got) - had):  # restored to what no clean title holds
+                    continue
                 gain = self.clean(got) - base
                 if best is None or gain > best[0] + 1e-6:
                     best = gain, i, got
@@ -215,10 +221,10 @@ def garbled(df: DataFrame, text: str, sample: int = SAMPLE) -> DataFrame:
     """
     distinct = df.select(F.col(text).alias("text")).where("text is not null and text <> ''").distinct()
     fitted = Classifier.fit([r.text for r in distinct.orderBy(F.xxhash64("text"), "text").limit(sample).collect()])
-    sent = df.sparkSession.sparkContext.broadcast(fitted.weights)
+    sent = df.sparkSession.sparkContext.broadcast((fitted.weights, fitted.known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(sent.value)
+        model = Classifier(*sent.value)
         for b in batches:
             found = [(t, *got) for t in b.column(0).to_pylist() if (got := model.judge(t)) is not None]
             cols = list(zip(*found)) if found else [(), (), ()]
