@@ -230,7 +230,9 @@ def garbled(df: DataFrame, text: str, sample: int = SAMPLE) -> DataFrame:
             cols = list(zip(*found)) if found else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["text", "chain", "restored"])
 
-    return distinct.where(~F.col("text").rlike(r"\A[\x00-\x7f]*\z")).mapInArrow(run, "text string, chain string, restored string")
+    # judging is the costly part: spread over all tasks however few bytes the texts have
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct.where(~F.col("text").rlike(r"\A[\x00-\x7f]*\z")).repartition(tasks).mapInArrow(run, "text string, chain string, restored string")
 
 
 def garbled_rows(df: DataFrame, key: str, text: str, sample: int = SAMPLE) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import table
+from .canonical import canonical_values
 from .forms import consistent_forms
 from .leaks import leak_report, leaked_spans
 from .mojibake import garbled_rows
@@ -39,6 +40,21 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_forms(spark, sf_dir).where("changed").select("field", "row_id")
 
 
+def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct city typed without an id, and the entry it means."""
+    rows, catalog = table(spark, sf_dir, "candidates"), table(spark, sf_dir, "city_catalog")
+    names = catalog.select(F.col("research_id").alias("entry"), F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("spelling"))
+    seen = rows.where("research_id is not null and city is not null").select(F.col("research_id").alias("entry"), F.col("city").alias("spelling")).join(catalog.select(F.col("research_id").alias("entry")), "entry", "left_semi")
+    provinces = [r.province for r in catalog.select("province").distinct().collect()]
+    return canonical_values(rows.where("research_id is null"), "city", names.unionByName(seen), provinces)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "candidates").where("research_id is null and city is not null").select("row_id", "city")
+    meant = p4_values(spark, sf_dir)
+    return rows.join(meant, rows.city == meant.value).select("row_id", F.col("entry").alias("research_id"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Representatives(table(spark, sf_dir, "candidates")).survivors().select("row_id")
 
@@ -79,7 +95,7 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).shared().select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), "shared_chars", "links")
 
 
-QUERIES = {f.__name__: f for f in (p1_titles, p1_found, p2_forms, p2_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_titles, p1_found, p2_forms, p2_found, p4_values, p4_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
 
 SQL: dict[str, str] = {
     "p6_found": """
