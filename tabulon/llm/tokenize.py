@@ -30,6 +30,13 @@ MEMO = 300_000
 _POS = 24
 
 
+def _slot(h: int, d: int, n: int) -> int:
+    """Slot of a key under a displacement: mixed anew for each, so that any slot can be met."""
+    x = (h + d * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    return (x ^ (x >> 32)) % n
+
+
 class PerfectHash:
     """Minimal perfect hash of byte strings by bucket displacement.
 
@@ -47,14 +54,14 @@ class PerfectHash:
         groups: dict[int, list[tuple[int, int, int]]] = {}
         for i, k in enumerate(keys):
             h = xxhash.xxh3_64_intdigest(k)
-            groups.setdefault(h % self.buckets, []).append((h >> 20, (h >> 7) | 1, i))
+            groups.setdefault(h % self.buckets, []).append((h, i))
         taken = bytearray(n)
         free = 0
         for b, members in sorted(groups.items(), key=lambda g: -len(g[1])):
             if len(members) > 1:
                 d = 0
                 while True:
-                    at = [(h1 + d * h2 + d * d) % n for h1, h2, _ in members]
+                    at = [_slot(h, d, n) for h, _ in members]
                     if len(set(at)) == len(at) and not any(taken[a] for a in at):
                         break
                     d += 1
@@ -63,14 +70,14 @@ class PerfectHash:
                 while taken[free]:
                     free += 1
                 at, self.shift[b] = [free], -free - 1
-            for a, (_, _, i) in zip(at, members):
+            for a, (_, i) in zip(at, members):
                 taken[a], self.slots[a], self.values[a] = 1, keys[i], i
 
     def find(self, key: bytes) -> int:
         """Index of ``key`` in the list the hash was built from, else -1."""
         h = xxhash.xxh3_64_intdigest(key)
         d = self.shift[h % self.buckets]
-        a = ((h >> 20) + d * ((h >> 7) | 1) + d * d) % self.n if d >= 0 else -d - 1
+        a = _slot(h, d, self.n) if d >= 0 else -d - 1
         return self.values[a] if self.slots[a] == key else -1
 
 
