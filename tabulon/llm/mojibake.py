@@ -169,7 +169,8 @@ class Classifier:
         base, best, had = self.clean(text), None, set(text)
         for i in order:
             for got in self._inversions(text, CHAINS[i], sure < DOUBT or _symbols(text)):
-                if not self.known.issuperset(set(got) - had):  # restored to what no clean title holds
+                new = set(got) - had
+                if 3 * len(new - self.known) > len(new):  # restored to what no clean title holds
                     continue
                 gain = self.clean(got) - base
                 if best is None or gain > best[0] + 1e-6:
