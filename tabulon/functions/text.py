@@ -47,13 +47,13 @@ def number(c: Column) -> Column:
 
     A leading 下降 or 减少 negates (and refuses a number already negative); one
     trailing percent or per mille sign is dropped without scaling; thousands
-    separators must be in place; U+2212 is a minus.
+    separators must be in place; U+2212 is a minus, full-width digits count.
     """
-    t = F.regexp_replace(stripped(c), "−", "-")
+    t = F.translate(stripped(c), "−０１２３４５６７８９", "-0123456789")
     down = t.rlike("^(下降|减少)")
     body = F.when(down, stripped(F.substring(t, 3, 1 << 20))).otherwise(t)
     body = stripped(F.regexp_replace(body, r"[%‰]\z", ""))
-    fits = body.rlike(r"(?U)^[+-]?(\d{1,3}(,\d{3})+|\d+)(\.\d+)?\z") & ~(down & body.startswith("-"))
+    fits = body.rlike(r"^[+-]?([0-9]{1,3}(,[0-9]{3})+|[0-9]+)(\.[0-9]+)?\z") & ~(down & body.startswith("-"))
     value = F.regexp_replace(body, ",", "").try_cast("double")
     return F.when(fits, F.when(down, -value).otherwise(value))
 

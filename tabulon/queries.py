@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import orphans, units
+from .plans import evidence
 from .tables import table
 
 
@@ -40,8 +41,8 @@ WHERE r.{f} IS NOT NULL AND r.{f} <> '' AND NOT coalesce(p.first <= r.{time}, fa
 """
 _P3 = " UNION ALL ".join(_ORPHANS.format(t=t, rid=rid, f=f, time=time, target=target, key=key, at=at, gone=gone) for t, rid, f, time, target, _, key, at, gone in orphans.REFERENCES)
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (p3_found, p3_counts, p5_found, p5_values)}
-SQL: dict[str, str] = {
+QUERIES: dict[str, Callable] = {f.__name__: f for f in (p3_found, p3_counts, p5_found, p5_values)} | evidence.QUERIES
+SQL: dict[str, str] = evidence.SQL | {
     "p3_found": _P3,
     "p3_counts": f"SELECT ref_field, period, count(*) AS orphans FROM ({_P3}) GROUP BY 1, 2",
 }
