@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text
-from ..operators import audit, layout, ledger, planning, selection
+from ..operators import audit, failures, layout, ledger, matrix, planning, prose, selection
 from ..tables import table
 
 # The indicators kept, the labels of totals, the marks of missing values.
 KEPT = ("地区生产总值", "全社会用电量", "年末常住人口", "全社会能源消费总量", "常住人口城镇化率")
+INDICATORS = (*KEPT, "地区生产总值增长率", "第一产业增加值", "第二产业增加值", "第三产业增加值", "工业增加值", "城镇常住人口", "人口自然增长率", "城乡居民生活用电量", "建成区面积", "一般公共预算支出", "固定资产投资增长率", "金融机构人民币贷款余额")
 TOTALS = ("全省", "全国", "合计", "总计", "省合计", "Total")
 MISSING = ("", "—", "–", "..", "...", "N/A", "NA", "未公布", "不详")
 FIRST, LAST = 2014, 2022
@@ -532,3 +533,81 @@ def source_union_counts(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.groupBy("source_class", "kind").agg(F.count("*").alias("rows"))
+
+
+@query()
+def prose_mentions(spark, sf):
+    """Mentions of all rules in all documents, with their places; the year of publication is what a document is about."""
+    docs = table(spark, sf, "documents").withColumn("about", F.year("published_at") - 1)
+    return prose.prose_mentions(docs, "doc_id", year="about")
+
+
+@query()
+def prose_missing(spark, sf):
+    return prose.missing_indicators(prose_mentions(spark, sf), "doc_id", KEPT)
+
+
+@query()
+def matrix_plan(spark, sf):
+    return matrix.plan_pages(table(spark, sf, "layout"), INDICATORS)
+
+
+@query()
+def matrix_values(spark, sf):
+    return matrix.read_pages(table(spark, sf, "layout"), INDICATORS)
+
+
+@query()
+def matrix_continuation(spark, sf):
+    return matrix.continues(matrix_plan(spark, sf))
+
+
+_CLASSES = " ".join(f"WHEN '{c}' THEN '{k}'" for c, k, _ in failures.CLASSES)
+_RETRY = " ".join(f"WHEN '{c}' THEN {str(r).lower()}" for c, _, r in failures.CLASSES)
+
+
+@query(f"""SELECT row_id, CASE failure {_CLASSES} ELSE 'parse' END AS category, CASE failure {_RETRY} ELSE false END AS retryable
+FROM ({SQL['audit_first_failure']}) WHERE failure IS NOT NULL""")
+def failure_classify(spark, sf):
+    rows = _failures(spark, sf).where("failure is not null").withColumn("c", failures.classified(F.col("failure")))
+    return rows.select("row_id", "c.category", "c.retryable")
+
+
+@query("""SELECT source_sha256, array_to_string(list_sort(list_distinct(list_filter([1, 3, 8, (p + 1) // 2, p], lambda x: x >= 1 AND x <= p))), ',') AS sample
+FROM (SELECT source_sha256, max(page) AS p FROM layout GROUP BY 1)""")
+def pdf_page_sample(spark, sf):
+    rows = table(spark, sf, "layout").groupBy("source_sha256").agg(F.max("page").alias("p"))
+    return rows.select("source_sha256", F.array_join(failures.sampled_pages(F.col("p")).cast("array<string>"), ",").alias("sample"))
+
+
+@query(f"""SELECT user_id, CASE WHEN n > 0 THEN round(covered / 10000.0 / n, 6)::DOUBLE END AS seconds_per_100
+FROM ({SQL['interval_union']}) LEFT JOIN (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS n FROM events GROUP BY 1) USING (user_id)""")
+def seconds_per_100(spark, sf):
+    """Covered time for every hundred purchases, null where there are none."""
+    made = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n"))
+    rows = interval_union(spark, sf).join(made, "user_id", "left")
+    return rows.select("user_id", F.when(F.col("n") > 0, F.round(F.col("covered") / 10000.0 / F.col("n"), 6)).alias("seconds_per_100"))
+
+
+@query(f"""SELECT c.research_id, count(DISTINCT year) AS years, min(year) AS first_year, max(year) AS last_year, count(*) AS missing
+FROM {_GAPS} c GROUP BY 1""")
+def gap_report(spark, sf):
+    return _gaps(spark, sf).groupBy("research_id").agg(F.count_distinct("year").alias("years"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count("*").alias("missing"))
+
+
+@query("""SELECT c.row_id FROM candidates c WHERE c.sha256 IN (SELECT source_sha256 FROM reviews WHERE source_sha256 IS NOT NULL)""")
+def reviewed_source_semi(spark, sf):
+    seen = table(spark, sf, "reviews").where("source_sha256 is not null").select(F.col("source_sha256").alias("sha256")).distinct()
+    return table(spark, sf, "candidates").join(seen, "sha256", "left_semi").select("row_id")
+
+
+@query("""SELECT reviewer, decision, count(*) AS reviews, count(DISTINCT record_id) AS records FROM reviews GROUP BY 1, 2""")
+def review_counts(spark, sf):
+    return table(spark, sf, "reviews").groupBy("reviewer", "decision").agg(F.count("*").alias("reviews"), F.count_distinct("record_id").alias("records"))
+
+
+@query(f"""SELECT row_id, CASE WHEN value_text IS NULL OR ({number_sql('value_text')}) IS NOT NULL THEN 0 ELSE len(regexp_extract_all(value_text, '[+-]?[0-9]+(?:\\.[0-9]+)?')) END AS tokens FROM candidates""")
+def numeric_token_count(spark, sf):
+    t = F.col("value_text")
+    tokens = F.regexp_count(t, F.lit(r"[+-]?[0-9]+(?:\.[0-9]+)?"))
+    return table(spark, sf, "candidates").select("row_id", F.when(t.isNull() | text.number(t).isNotNull(), 0).otherwise(tokens).cast("long").alias("tokens"))
