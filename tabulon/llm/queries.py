@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.skew import join_unique
 from ..tables import table
 from .canonical import canonical_values
 from .forms import consistent_forms
@@ -51,8 +52,8 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "candidates").where("research_id is null and city is not null").select("row_id", "city")
-    meant = p4_values(spark, sf_dir)
-    return rows.join(meant, rows.city == meant.value).select("row_id", F.col("entry").alias("research_id"))
+    meant = p4_values(spark, sf_dir).select(F.col("value").alias("city"), F.col("entry").alias("research_id"))
+    return join_unique(rows, meant, "city").select("row_id", "research_id")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,6 +182,7 @@ class SharedSpans:
         k, reach = self.k, self.min_chars - self.k
         each = self.anchors.select("doc", "s1", "s2", F.explode(F.arrays_zip("hs", "ats")).alias("a")).select("doc", "s1", "s2", F.col("a.hs").alias("h"), F.col("a.ats").alias("at"))
         common = each.groupBy("h").agg(F.min("s1").alias("a"), F.max("s1").alias("b"), F.min("s2").alias("c"), F.max("s2").alias("d")).where("a < b or c < d").select("h")
+        common = written(common, "common")  # its size is then known, and a hot anchor's side can be split
         found = each.select("doc", "h", "at").join(common, "h").join(self.copies.where("doc <> rep").select("doc"), "doc", "left_anti")
         by_doc = found.groupBy("doc").agg(F.collect_set(F.struct("h", "at")).alias("found"))
         texts = self.docs.select(F.col(self.doc_id).alias("doc"), F.col(self.text).alias("text")).where(F.length("text") >= self.min_chars)
