@@ -213,6 +213,7 @@ def canonical_values(
     pairs = values.select("spelling", "kind", "core", "ending").join(scored, ["kind", "core"]).select("spelling", "kind", "core", "ending", "known", "entry", "score")
     fits = pairs.mapInArrow(check, pairs.schema)
     best = fits.groupBy("spelling", "entry").agg(F.max(F.struct("score", (F.col("core") == F.col("known")).alias("same"))).alias("s"))
+    best = written(best, "best")
     top = best.groupBy("spelling").agg(F.max(F.struct("s.same", "s.score", "entry")).alias("b"), F.count("*").alias("n"), F.sum(F.col("s.same").cast("int")).alias("exact"), F.sum("s.score").alias("all"))
     second = best.join(top.select("spelling", F.col("b.entry").alias("first")), "spelling").where("entry <> first").groupBy("spelling").agg(F.max("s.score").alias("next"))
     found = top.join(second, "spelling", "left").where(F.col("b.same") | F.col("next").isNull() | (F.col("b.score") - F.col("next") >= margin))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.skew import join_unique
-from ..tables import table
+from ..tables import table, written
 from .canonical import canonical_values
 from .forms import consistent_forms
 from .leaks import leak_report, leaked_spans
@@ -52,7 +52,7 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "candidates").where("research_id is null and city is not null").select("row_id", "city")
-    meant = p4_values(spark, sf_dir).select(F.col("value").alias("city"), F.col("entry").alias("research_id"))
+    meant = written(p4_values(spark, sf_dir).select(F.col("value").alias("city"), F.col("entry").alias("research_id")), "meant")
     return join_unique(rows, meant, "city").select("row_id", "research_id")
 
 
