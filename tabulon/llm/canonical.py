@@ -31,7 +31,7 @@ from .forms import Rewriter, representatives
 THRESHOLD, MARGIN = 0.1, 0.02
 # Endings of the kinds of places a list like this holds, longest first; and of kinds it doesn't.
 _ENDINGS = ("自治州", "地区", "市辖区", "市区", "全市", "盟", "市", "州", "府", "城")
-_OTHER = ("自治县", "自治旗", "区", "县", "旗", "镇", "乡", "村", "街道")
+_OTHER = ("自治县", "自治旗", "省", "区", "县", "旗", "镇", "乡", "村", "街道")
 _ROMAN_ENDINGS = ("shi", "city", "prefecture", "municipality", "zizhizhou", "diqu", "meng", "zhou")
 # Offices and totals named after a place.
 _TAILS = re.compile("(?:人民政府|统计局|调查队|统计公报|统计年鉴|本级|合计|总计|小计|全境|境内)+$")
@@ -66,8 +66,11 @@ class Normaliser:
             cut = [whole[: -len(e)] for e in _ROMAN_ENDINGS if whole.endswith(e) and len(whole) - len(e) >= 3]
             return [("roman", x, "") for x in dict.fromkeys([whole, *cut]) if x]
         t = re.sub("[^㐀-鿿]", "", t).translate(self.same)
-        if self.province and (m := self.province.match(t)) and len(t) - m.end() >= 2:
-            t = t[m.end() :]
+        if self.province and (m := self.province.match(t)):
+            if m.end() == len(t):
+                return []
+            if len(t) - m.end() >= 2:
+                t = t[m.end() :]
         if (u := _TAILS.sub("", t)) and len(u) >= 2:
             t = u
         for e in _ENDINGS:
@@ -123,7 +126,7 @@ def accept(kind: str, core: str, ending: str, entry: str, used: frozenset[str])
     if edit is None:
         # traditional or mistaken characters throughout, none of them the list's own
         odd = [x for x, y in zip(core, entry) if x != y]
-        return kind == "han" and len(core) == len(entry) >= 3 and len(odd) < len(core) and ending not in _OTHER and used.isdisjoint(odd)
+        return kind == "han" and len(core) == len(entry) >= 3 and len(odd) < len(core) and ending in _ENDINGS and used.isdisjoint(odd)
     if edit[0] == "same":
         return ending not in _OTHER
     if ending in _OTHER:

@@ -110,9 +110,29 @@ def _symbols(text: str) -> bool:
 
 
 _ODD = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
+#: Runs of what bytes from 0x80 on become in the western encodings.
+_WEST = re.compile("[\x80-\xff" + "".join(_TO_1252.values()) + "]{2,}")
 _RUN = re.compile("[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*")
 
 
+def western(text: str) -> tuple[str, str] | None:
+    """(chain, text) with every run undone that is UTF-8 read in a western encoding, None if there is no such run.
+
+    A run of several western characters whose bytes are valid UTF-8 hardly
+    ever arises otherwise, so this needs no likelihood.
+    """
+    out, at, found, special = [], 0, False, False
+    for m in _WEST.finditer(text):
+        got = invert(m[0], (("utf-8", "cp1252"),))
+        if got is not None:
+            out += [text[at : m.start()], got]
+            at, found = m.end(), True
+            special |= any(ord(c) > 0xFF for c in m[0])
+    if not found:
+        return None
+    return ("utf-8 as cp1252" if special or not re.search("[\x80-\x9f]", text) else "utf-8 as latin-1"), "".join(out) + text[at:]
+
+
 @dataclass
 class Classifier:
     """Log-probabilities of the hashed bigrams, row 0 the clean class, row i+1 ``CHAINS[i]``; and the characters of the clean titles."""
@@ -124,8 +144,8 @@ class Classifier:
     def fit(cls, titles: list[str], seed: int = 7) -> Classifier:
         """Trains twice: the second time without the titles that the first one finds garbled or nearly so."""
         titles = sorted(set(titles))
-        first = cls._train(titles, seed)
-        clean = [t for t in titles if t.isascii() or (b := first.best(t)) is None or b[0] < -GAIN]
+        first = cls._train([t for t in titles if western(t) is None], seed)
+        clean = [t for t in titles if t.isascii() or western(t) is None and ((b := first.best(t)) is None or b[0] < -GAIN)]
         return cls._train(clean, seed) if clean else first
 
     @classmethod
@@ -181,6 +201,10 @@ class Classifier:
         """(chain, restored text) of a garbled text, None of a clean one; the restored text is None where bytes are lost."""
         if text.isascii():
             return None
+        if (west := western(text)) is not None:
+            deeper = self.judge(west[1])
+            lost = "\ufffd" in text or deeper is not None and deeper[1] is None
+            return west[0] if deeper is None else f"{deeper[0]}, {west[0]}", None if lost else deeper[1] if deeper else west[1]
         best = self.best(text)
         good = best is not None and best[0] > GAIN
         if "\ufffd" in text:  # bytes are lost

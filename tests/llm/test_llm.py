@@ -234,6 +234,14 @@ def test_partly_garbled_titles_are_found():
         assert model.judge(mojibake.garble(t[:9], chain) + t[9:])
 
 
+def test_western_runs_need_no_likelihood():
+    twice = mojibake.garble("Jixuncui’s – 蔚菱", mojibake.CHAINS[20])
+    model = mojibake.Classifier.fit(titles() + [twice] * 50 + ["Statistical CommuniquÃ© of X"] * 50)
+    assert model.judge("Statistical CommuniquÃ© of X") == ("utf-8 as cp1252", "Statistical Communiqué of X")
+    assert model.judge(twice)[1] == "Jixuncui’s – 蔚菱"
+    assert mojibake.western("Statistical Communiqué « a »") is None
+
+
 def test_garbled_rows(spark):
     bad = mojibake.garble("蔚菱鹿市统计年鉴2019", mojibake.CHAINS[1])
     rows = [(i, t) for i, t in enumerate(titles())] + [(9000, None), (9001, ""), (9002, bad), (9003, bad), (9004, "Plain 2019")]
@@ -252,10 +260,10 @@ def test_values_find_their_entries(spark):
     means = {
         "蔚菱鹿市": "1", "蔚菱鹿①": "1", "岚北省蔚菱鹿市": "1", "蔚 菱 鹿 市": "1", "菱蔚鹿市": "1", "畏菱鹿市": "1", "菱鹿市": "1", "蔚菱菱鹿市": "1", "weilinglushi": "1",
         "WEILNGLU": "1", "Weilinglu City": "1", "荻綠翠自治州": "2", "2023年荻绿翠": "2", "其中：琅飒市": "3", "琅萨市": "3", "langas": "3", "Yuan Luan Shi": "5", "蔚菱鹿市统计局": "1",
-        "白砚石市": "none", "蔚菱鹿区": "none", "岚北省": "none", "合计": "none", "": "none", "飒白市": "none", "unknown": "none", "蔚" * 4000: "none",
+        "白砚石市": "none", "蔚菱鹿区": "none", "岚北省": "none", "砚陵省": "none", "琅飒省": "none", "合计": "none", "": "none", "飒白市": "none", "unknown": "none", "蔚" * 4000: "none",
     }
     rows = [(v, 1) for v in means] * 2 + [(None, 1)]
-    got = canonical.canonical_values(spark.createDataFrame(rows, "city string, entry int"), "city", spark.createDataFrame(ref, "entry string, spelling string"), ["岚北省"]).collect()
+    got = canonical.canonical_values(spark.createDataFrame(rows, "city string, entry int"), "city", spark.createDataFrame(ref, "entry string, spelling string"), ["岚北省", "砚陵省"]).collect()
     assert len(got) == len(means)
     assert {r.value: r.entry for r in got} == means
 
