@@ -611,3 +611,66 @@ def numeric_token_count(spark, sf):
     t = F.col("value_text")
     tokens = F.regexp_count(t, F.lit(r"[+-]?[0-9]+(?:\.[0-9]+)?"))
     return table(spark, sf, "candidates").select("row_id", F.when(t.isNull() | text.number(t).isNotNull(), 0).otherwise(tokens).cast("long").alias("tokens"))
+
+
+@query(f"""SELECT city, research_id, how FROM (SELECT t.city, a.research_id, a.how, row_number() OVER (PARTITION BY t.city ORDER BY a.how, a.research_id) AS n
+FROM (SELECT DISTINCT city FROM candidates WHERE city IS NOT NULL) t JOIN (SELECT research_id, name AS k, 1 AS how FROM city_catalog
+UNION ALL SELECT research_id, unnest(coalesce(aliases, [])), 2 FROM city_catalog UNION ALL SELECT research_id, research_id, 3 FROM city_catalog) a ON a.k = t.city) WHERE n = 1""")
+def catalog_lookup(spark, sf):
+    """Entry of every typed city: by its name, else by an alias, else by its code; three equi-joins instead of an OR."""
+    c = table(spark, sf, "city_catalog")
+    keys = c.select("research_id", F.col("name").alias("city"), F.lit(1).alias("how"))
+    keys = keys.unionByName(c.select("research_id", F.explode("aliases").alias("city"), F.lit(2).alias("how")))
+    keys = keys.unionByName(c.select("research_id", F.col("research_id").alias("city"), F.lit(3).alias("how")))
+    typed = table(spark, sf, "candidates").where("city is not null").select("city").distinct()
+    return typed.join(keys, "city").groupBy("city").agg(F.min(F.struct("how", "research_id")).alias("m")).select("city", "m.research_id", "m.how")
+
+
+_HEAD = r"^20[0-9]{2}年?$"
+
+
+@query(f"""SELECT word_id, header_id FROM (SELECT v.word_id, h.word_id AS header_id, row_number() OVER (PARTITION BY v.word_id ORDER BY abs(h.x + h.w / 2 - v.x - v.w / 2), h.y DESC, h.word_id) AS n
+FROM layout v JOIN layout h ON h.source_sha256 = v.source_sha256 AND h.page = v.page AND h.y < v.y AND abs(h.x + h.w / 2 - v.x - v.w / 2) < 0.05 * v.page_width
+WHERE regexp_matches(v.text, '{_NUMERIC}') AND NOT regexp_matches(v.text, '{_HEAD}') AND regexp_matches(h.text, '{_HEAD}')) WHERE n = 1""")
+def header_proximity_join(spark, sf):
+    """The year header nearest above each number, within a twentieth of the page's width."""
+    words = table(spark, sf, "layout")
+    head = words.where(F.col("text").rlike(_HEAD)).select("source_sha256", "page", F.col("word_id").alias("header_id"), (F.col("x") + F.col("w") / 2).alias("hc"), F.col("y").alias("hy"))
+    number = words.where(F.col("text").rlike(_NUMERIC) & ~F.col("text").rlike(_HEAD)).select("source_sha256", "page", "word_id", (F.col("x") + F.col("w") / 2).alias("c"), "y", "page_width")
+    gap = F.abs(F.col("hc") - F.col("c"))
+    met = number.join(head, ["source_sha256", "page"]).where((F.col("hy") < F.col("y")) & (gap < 0.05 * F.col("page_width")))
+    return met.groupBy("word_id").agg(F.min(F.struct(gap.alias("gap"), (-F.col("hy")).alias("above"), "header_id")).alias("m")).select("word_id", "m.header_id")
+
+
+@query("""SELECT source_sha256, page, string_agg(text, '' ORDER BY i) AS title FROM (SELECT source_sha256, page, i, min(text) AS text
+FROM (SELECT source_sha256, page, text, i FROM layout JOIN (SELECT unnest([2, 0, 1]) AS ref, unnest([0, 1, 2]) AS i) ON word_index = ref WHERE text IS NOT NULL) GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+def anchor_lookup(spark, sf):
+    """Texts of referenced words of each page, put together in the order of the references."""
+    refs = F.posexplode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("i", "ref")
+    words = table(spark, sf, "layout").where("text is not null and word_index <= 2").select("source_sha256", "page", "text", "word_index", refs).where("word_index = ref")
+    one = words.groupBy("source_sha256", "page", "i").agg(F.min("text").alias("text"))
+    parts = F.array_sort(F.collect_list(F.struct("i", "text")))  # three at most
+    return one.groupBy("source_sha256", "page").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("title"))
+
+
+@query("""SELECT id, count(*) AS rows, count(DISTINCT coalesce(value::VARCHAR, '')) > 1 AS value_differs, count(DISTINCT coalesce(unit, '')) > 1 AS unit_differs, count(DISTINCT coalesce(city, '')) > 1 AS city_differs
+FROM candidates GROUP BY 1 HAVING count(*) > 1""")
+def identity_conflicts(spark, sf):
+    """Fields in which rows of one identity differ."""
+    differs = lambda c: (F.min(F.coalesce(F.col(c), F.lit(""))) != F.max(F.coalesce(F.col(c), F.lit("")))).alias(f"{c}_differs")
+    rows = table(spark, sf, "candidates").select("id", F.col("value").cast("string").alias("value"), "unit", "city")
+    return rows.groupBy("id").agg(F.count("*").alias("rows"), *map(differs, ("value", "unit", "city"))).where("rows > 1")
+
+
+@query(f"""SELECT year, indicator, count(*) AS cities, count(DISTINCT edition) AS editions, min(value) AS least, max(value) AS most FROM {_WIN} GROUP BY 1, 2""")
+def panel_coverage(spark, sf):
+    return _winners(spark, sf).groupBy("year", "indicator").agg(F.count("*").alias("cities"), F.count_distinct("edition").alias("editions"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+
+@query("""SELECT loaded_day, count(*) AS rows, count(*) FILTER (late > 86400000000) AS late_rows, max(late) AS worst FROM (
+SELECT strftime(loaded_at, '%Y-%m-%d') AS loaded_day, epoch_us(loaded_at) - epoch_us(extracted_at) AS late FROM candidates) GROUP BY 1""")
+def late_arrivals(spark, sf):
+    """Rows by the day they were loaded, and how many came over a day after their extraction."""
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    rows = table(spark, sf, "candidates").select(F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded_day"), (micros("loaded_at") - micros("extracted_at")).alias("late"))
+    return rows.groupBy("loaded_day").agg(F.count("*").alias("rows"), F.count(F.when(F.col("late") > 86_400_000_000, 1)).alias("late_rows"), F.max("late").alias("worst"))
