@@ -24,6 +24,8 @@ SAMPLE = 12_000
 DIMS = 1 << 15
 #: How much likelier, in nats, a restored text must be.
 GAIN = 2.0
+#: Longer texts are cut only near the places where the likelihood turns.
+CUTS = 200
 #: A title whose posterior of the clean class is below this is also tried in parts.
 DOUBT = 0.999999
 
@@ -187,8 +189,9 @@ class Classifier:
         """(gain in nats, chain, restored text) of the inversion that makes the text likeliest, of equals the chain predicted first."""
         order, sure = self.ranking(text)
         base, best, had = self.clean(text), None, set(text)
+        cuts = self._cuts(text) if sure < DOUBT or _symbols(text) else None
         for i in order:
-            for got in self._inversions(text, CHAINS[i], sure < DOUBT or _symbols(text)):
+            for got in self._inversions(text, CHAINS[i], cuts):
                 new = set(got) - had
                 if 3 * len(new - self.known) > len(new):  # restored to what no clean title holds
                     continue
@@ -211,12 +214,22 @@ class Classifier:
             return chain_name(CHAINS[best[1] if good else self.ranking(text)[0][0]]), None
         return (chain_name(CHAINS[best[1]]), best[2]) if good else None
 
+    def _cuts(self, text: str) -> list[int]:
+        """Where a garbled part may begin or end: anywhere in short texts, near the turns of the likelihood in long ones."""
+        n = len(text)
+        if n <= CUTS:
+            return list(range(1, n))
+        odds = np.cumsum(self.weights[0][bigrams(text)] + float(np.log(DIMS / 4)))
+        at = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in text])
+        turns = [int(np.searchsorted(at, b)) for b in (odds.argmax(), odds.argmin())]
+        return sorted({c for t in turns for c in range(max(1, t - 16), min(n, t + 17))})
+
     @staticmethod
-    def _inversions(text: str, chain: tuple[tuple[str, str], ...], parts: bool) -> Iterator[str]:
+    def _inversions(text: str, chain: tuple[tuple[str, str], ...], cuts: list[int] | None) -> Iterator[str]:
         whole = invert(text, chain)
         if whole is not None and whole != text:
             yield whole
-        if not parts:
+        if cuts is None:
             return
         # runs of letters beyond ASCII, each on its own
         out, at, any_ = [], 0, False
@@ -228,7 +241,7 @@ class Classifier:
         if any_:
             yield "".join(out) + text[at:]
         # a garbled front or a garbled rest
-        for cut in range(1, len(text)):
+        for cut in cuts:
             if not text[cut:].isascii() and (got := invert(text[cut:], chain)) is not None and got != text[cut:]:
                 yield text[:cut] + got
             if not text[:cut].isascii() and (got := invert(text[:cut], chain)) is not None and got != text[:cut]:

@@ -27,7 +27,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Where the public vocabularies lie unless a path is given.
 TOKENIZERS = os.environ.get("TABULON_TOKENIZERS", "/opt/tokenizers")
 MEMO = 300_000
-_POS = 24
+#: Bits for a position in a pre-token.
+_POS = 40
 
 
 def _slot(h: int, d: int, n: int) -> int:

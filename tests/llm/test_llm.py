@@ -234,6 +234,19 @@ def test_partly_garbled_titles_are_found():
         assert model.judge(mojibake.garble(t[:9], chain) + t[9:])
 
 
+def test_long_titles_take_linear_time():
+    import time
+
+    model = mojibake.Classifier.fit(titles())
+    clean = "。".join(titles()) * 5
+    start = time.time()
+    for chain in mojibake.CHAINS[:1] + mojibake.CHAINS[6:7]:
+        half = len(clean) // 2
+        assert model.judge(clean[:half] + mojibake.garble(clean[half:], chain))
+    assert model.judge(clean) is None
+    assert len(clean) > 50_000 and time.time() - start < 60
+
+
 def test_western_runs_need_no_likelihood():
     twice = mojibake.garble("Jixuncui’s – 蔚菱", mojibake.CHAINS[20])
     model = mojibake.Classifier.fit(titles() + [twice] * 50 + ["Statistical CommuniquÃ© of X"] * 50)
