@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..tables import written
 
 KEY = ("research_id", "year", "indicator")
 
@@ -64,6 +67,21 @@ def acquisition_order(tables: DataFrame) -> list:
     return [late, level, F.desc("density"), F.desc("missing"), F.desc("edition"), F.asc("file"), F.asc("table_index")]
 
 
+def placed(rows: DataFrame, order: Sequence) -> DataFrame:
+    """``rows`` with ``place``, their number from 1 in ``order``, which must be total.
+
+    Sorted by range partitions, which are written with their number, since
+    ranges are sampled anew in each run. A place is the row's number within
+    its partition plus the rows of the partitions before it.
+    """
+    parts = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "placed")
+    # one row for each partition
+    before = F.sum("rows").over(Window.partitionBy(F.lit(1)).orderBy("part")) - F.col("rows")
+    offsets = parts.groupBy("part").agg(F.count("*").alias("rows")).select("part", before.alias("before"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return parts.withColumn("n", within).join(F.broadcast(offsets), "part").withColumn("place", F.col("before") + F.col("n")).drop("part", "before", "n")
+
+
 def city_actions(catalog: DataFrame, unlocked: DataFrame) -> DataFrame:
     """(research_id, action): municipalities reuse the province layer, others wait until a gap is documented."""
     met = catalog.join(unlocked.select("research_id").distinct().withColumn("open", F.lit(True)), "research_id", "left")

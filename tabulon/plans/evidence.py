@@ -347,10 +347,18 @@ def table_actions(spark, sf):
     return _actions(spark, sf).select("file", "table_index", "action")
 
 
+@query(f"""SELECT file, table_index, row_number() OVER (ORDER BY (action LIKE 'defer%' OR action LIKE 'exclude%')::INT, CASE WHEN level IS NULL THEN 0 WHEN level = 'province' THEN 1 WHEN level = 'city' THEN 2 ELSE 9 END,
+density DESC NULLS LAST, missing DESC, edition DESC NULLS LAST, file, table_index) AS place FROM {_ACTIONS}""")
+def acquisition_rank(spark, sf):
+    """Every table with its place in the order of acquisition."""
+    rows = _actions(spark, sf)
+    return planning.placed(rows, planning.acquisition_order(rows)).select("file", "table_index", "place")
+
+
 @query(f"""SELECT file, table_index, row_number() OVER (ORDER BY (action LIKE 'defer%' OR action LIKE 'exclude%')::INT, CASE WHEN level IS NULL THEN 0 WHEN level = 'province' THEN 1 WHEN level = 'city' THEN 2 ELSE 9 END,
 density DESC NULLS LAST, missing DESC, edition DESC NULLS LAST, file, table_index) AS place FROM {_ACTIONS} QUALIFY place <= 100""")
 def acquisition_top(spark, sf):
-    """The next hundred acquisitions; sorted and limited before they are numbered."""
+    """A report of the next hundred acquisitions, the head of ``acquisition_rank``; sorted and limited before they are numbered."""
     rows = _actions(spark, sf)
     top = rows.orderBy(*planning.acquisition_order(rows)).limit(100)
     w = Window.partitionBy(F.lit(1)).orderBy(*planning.acquisition_order(rows))

@@ -195,6 +195,24 @@ def test_actions_in_override_order(spark):
     assert [r.action.split("_")[0] for r in planning.table_action(df).collect()] == ["inspect", "reuse", "acquire", "defer", "acquire", "exclude", "inspect", "reuse"]
 
 
+def test_ranking_keeps_every_table(spark):
+    rng = random.Random(3)
+    rows = [(f"f{i % 40}", i // 40, rng.choice(["acquire", "defer", "exclude"]), rng.choice([None, "province", "city", "county"]), rng.choice([None, 0.0, 0.25, 1.0]), rng.randint(0, 3), rng.choice([None, 2019, 2020])) for i in range(1000)]
+    df = spark.createDataFrame(rows, "file string, table_index int, action string, level string, density double, missing long, edition int")
+    level = {None: 0, "province": 1, "city": 2}
+    down = lambda x: (x is None, -(x or 0))
+    want = sorted(rows, key=lambda r: (r[2] != "acquire", level.get(r[3], 9), down(r[4]), -r[5], down(r[6]), r[0], r[1]))
+    got = planning.placed(df.repartition(7), planning.acquisition_order(df)).collect()
+    assert {(r.file, r.table_index): r.place for r in got} == {(r[0], r[1]): n for n, r in enumerate(want, 1)} and len(got) == 1000
+    assert planning.placed(df.limit(0), planning.acquisition_order(df)).count() == 0
+
+
+def test_the_registered_ranking_has_every_mapped_table(spark):
+    mapped = spark.read.parquet("/root/testdata/sf0.001/table_mapping.parquet").where("file is not null and size(columns) > 0").select("file", "table_index").distinct().count()
+    places = [r.place for r in queries.QUERIES["acquisition_rank"](spark, "/root/testdata/sf0.001").collect()]
+    assert mapped > 100 and sorted(places) == list(range(1, mapped + 1))
+
+
 def test_gaps_and_traversal(spark):
     cat = spark.createDataFrame([("a",), ("b",)], "research_id string")
     have = spark.createDataFrame([("a", 2020, "x"), ("a", 2020, "x")], "research_id string, year int, indicator string")
