@@ -26,8 +26,6 @@ DIMS = 1 << 15
 GAIN = 2.0
 #: Longer texts are cut only near the places where the likelihood turns.
 CUTS = 200
-#: A title whose posterior of the clean class is below this is also tried in parts.
-DOUBT = 0.999999
 
 _C1 = {}
 for _b in range(0x80, 0xA0):
@@ -100,6 +98,19 @@ def invert(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     return text
 
 
+def _lacking(text: str, name: str) -> tuple[int, int]:
+    """Where the first character that an encoding lacks stands, and the place after the last one; (length, 0) without any."""
+    try:
+        _encode(text, name)
+    except UnicodeEncodeError as e:
+        first = e.start
+        try:
+            _encode(text[::-1], name)
+        except UnicodeEncodeError as back:
+            return first, len(text) - back.start
+    return len(text), 0
+
+
 def bigrams(text: str) -> np.ndarray:
     """Hashed byte bigrams of the text in UTF-8, with a mark at either end."""
     b = np.frombuffer(b"\x01" + text.encode("utf-8", "surrogatepass") + b"\x02", np.uint8).astype(np.uint32)
@@ -187,15 +198,17 @@ class Classifier:
 
     def best(self, text: str) -> tuple[float, int, str] | None:
         """(gain in nats, chain, restored text) of the inversion that makes the text likeliest, of equals the chain predicted first."""
-        order, sure = self.ranking(text)
+        order, _ = self.ranking(text)
         base, best, had = self.clean(text), None, set(text)
-        cuts = self._cuts(text) if sure < DOUBT or _symbols(text) else None
+        cuts = self._cuts(text)
+        # many parts are tried of every text, so that the best of them must be likelier by their number
+        price = float(np.log(2 * len(CHAINS) * (len(cuts) + 1)))
         for i in order:
-            for got in self._inversions(text, CHAINS[i], cuts):
+            for got, part in self._inversions(text, CHAINS[i], cuts):
                 new = set(got) - had
                 if 3 * len(new - self.known) > len(new):  # restored to what no clean title holds
                     continue
-                gain = self.clean(got) - base
+                gain = self.clean(got) - base - (price if part else 0.0)
                 if best is None or gain > best[0] + 1e-6:
                     best = gain, i, got
         return best
@@ -225,12 +238,11 @@ class Classifier:
         return sorted({c for t in turns for c in range(max(1, t - 16), min(n, t + 17))})
 
     @staticmethod
-    def _inversions(text: str, chain: tuple[tuple[str, str], ...], cuts: list[int] | None) -> Iterator[str]:
+    def _inversions(text: str, chain: tuple[tuple[str, str], ...], cuts: list[int]) -> Iterator[tuple[str, bool]]:
+        """(restored text, whether only a part of it was undone)."""
         whole = invert(text, chain)
         if whole is not None and whole != text:
-            yield whole
-        if cuts is None:
-            return
+            yield whole, False
         # runs of letters beyond ASCII, each on its own
         out, at, any_ = [], 0, False
         for m in _RUN.finditer(text):
@@ -239,13 +251,14 @@ class Classifier:
             any_ |= got is not None and got != m[0]
             at = m.end()
         if any_:
-            yield "".join(out) + text[at:]
-        # a garbled front or a garbled rest
+            yield "".join(out) + text[at:], True
+        # a garbled front or a garbled rest, neither of which can hold what the last encoding lacks
+        first, after = _lacking(text, chain[-1][1])
         for cut in cuts:
-            if not text[cut:].isascii() and (got := invert(text[cut:], chain)) is not None and got != text[cut:]:
-                yield text[:cut] + got
-            if not text[:cut].isascii() and (got := invert(text[:cut], chain)) is not None and got != text[:cut]:
-                yield got + text[cut:]
+            if cut >= after and not text[cut:].isascii() and (got := invert(text[cut:], chain)) is not None and got != text[cut:]:
+                yield text[:cut] + got, True
+            if cut <= first and not text[:cut].isascii() and (got := invert(text[:cut], chain)) is not None and got != text[:cut]:
+                yield got + text[cut:], True
 
 
 def garbled(df: DataFrame, text: str, sample: int = SAMPLE) -> DataFrame:

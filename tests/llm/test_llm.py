@@ -234,6 +234,21 @@ def test_partly_garbled_titles_are_found():
         assert model.judge(mojibake.garble(t[:9], chain) + t[9:])
 
 
+def test_short_garbled_parts_of_titles_that_look_clean_are_found():
+    model = mojibake.Classifier.fit(titles())
+    sure = 0
+    for name in NAMES:
+        t = f"{name}2019年国民经济和社会发展统计公报、{name}统计年鉴2018、数据发布_{name}统计局 2020"
+        assert model.judge(t) is None
+        for chain in (mojibake.CHAINS[0], mojibake.CHAINS[6], mojibake.CHAINS[7], mojibake.CHAINS[9]):
+            bad = mojibake.garble(name, chain) + t[len(name) :]
+            if "\ufffd" in bad or "?" in bad:
+                continue
+            sure += model.ranking(bad)[1] >= 0.999999
+            assert model.judge(bad)[1] == t
+    assert sure
+
+
 def test_long_titles_take_linear_time():
     import time
 
