@@ -47,11 +47,13 @@ def hash_status(records: DataFrame, captures: DataFrame) -> DataFrame:
     """(row_id, status): whether a living capture of the record's file has its hash.
 
     'matched', 'mismatch' (captured, other hash), 'uncaptured'. Captures are
-    reduced to one row for each (file, hash) before the join.
+    reduced to one row for each (file, hash) before the join, and to one for
+    each file with a hash.
     """
-    there = captures.where("deleted_at is null and file is not null").groupBy("file").agg(F.min("sha256").alias("lo"), F.max("sha256").alias("hi"))
-    met = records.select("row_id", "file", "sha256").join(there, "file", "left")
-    return met.select("row_id", F.when(F.col("lo").isNull(), "uncaptured").when((F.col("sha256") == F.col("lo")) | (F.col("sha256") == F.col("hi")), "matched").otherwise("mismatch").alias("status"))
+    pairs = captures.where("deleted_at is null and file is not null and sha256 is not null").select("file", "sha256").distinct()
+    met = records.select("row_id", "file", "sha256").join(pairs.withColumn("same", F.lit(True)), ["file", "sha256"], "left")
+    met = met.join(pairs.select("file").distinct().withColumn("there", F.lit(True)), "file", "left")
+    return met.select("row_id", F.when(F.col("there").isNull(), "uncaptured").when(F.col("same"), "matched").otherwise("mismatch").alias("status"))
 
 
 def replay_mismatch(records: DataFrame) -> DataFrame:

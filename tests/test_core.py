@@ -189,6 +189,14 @@ def test_first_failure_stops_at_the_first(spark):
     assert [r.f for r in df.select(audit.first_failure(tests).alias("f")).collect()] == ["B", "A", None]
 
 
+def test_every_living_hash_of_a_file_matches(spark):
+    captures = [("f", h, None) for h in "abcdb"] + [("f", "z", DAY), ("g", None, None), ("h", "a", DAY), (None, "a", None)]
+    records = [(i, "f", h) for i, h in enumerate(["a", "b", "c", "d", "z", None])] + [(10, "g", "a"), (11, "h", "a"), (12, None, "a"), (0, "f", "a")]
+    got = audit.hash_status(spark.createDataFrame(records, "row_id long, file string, sha256 string"), spark.createDataFrame(captures, "file string, sha256 string, deleted_at timestamp")).collect()
+    want = {0: "matched", 1: "matched", 2: "matched", 3: "matched", 4: "mismatch", 5: "mismatch", 10: "uncaptured", 11: "uncaptured", 12: "uncaptured"}
+    assert {r.row_id: r.status for r in got} == want and len(got) == len(records)
+
+
 def test_actions_in_override_order(spark):
     rows = [(0, 0, True, "province", 0), (3, 0, True, "province", 0), (3, 1, True, "province", 0), (3, 1, True, "city", 0), (3, 1, True, "city", 1), (3, 1, False, "county", 1), (3, 1, True, None, 1), (3, 0, True, None, 1)]
     df = spark.createDataFrame(rows, "expected int, missing int, reviewed boolean, level string, unlocked int")
