@@ -116,11 +116,13 @@ class Automaton:
         return new
 
 
-def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int) -> tuple[set[tuple[int, int]], dict[int, list[tuple[int, int]]]]:
+def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int, held: list[tuple] | None = None) -> tuple[set[tuple[int, int]], dict[int, list[tuple[int, int]]]]:
     """Which texts of a shard share ``min_chars`` characters around the anchor, and where.
 
     ``texts``: (text, place of the anchor). Returns the pairs of indices, and
     for each index the spans, as (start, end), that another text holds.
+    ``held``: the least and greatest record of each text; what one record alone
+    holds, at two of its places, is then not shared.
     """
     sam, ends = Automaton(), []
     for text, off in texts:
@@ -146,7 +148,7 @@ def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int) -> tup
     spans: dict[int, list[tuple[int, int]]] = {}
     for hits in reached.values():
         who = sorted({n for n, _ in hits})
-        if len(who) < 2:
+        if len(who) < 2 or held is not None and min(held[n][0] for n in who) == max(held[n][1] for n in who):
             continue
         pairs.update((x, y) for i, x in enumerate(who) for y in who[i + 1 :])
         for n, end in hits:
@@ -207,13 +209,14 @@ class SharedSpans:
 
     def _compare(self) -> None:
         k, least, size = self.k, self.min_chars, self.min_chars
-        kinds = self.contexts.groupBy("h", "c1", "c2").agg(F.first("around").alias("around"), F.first("off").alias("off"))
+        doc = self.docs.schema[self.doc_id].dataType.simpleString()
+        kinds = self.contexts.groupBy("h", "c1", "c2").agg(F.first("around").alias("around"), F.first("off").alias("off"), F.min("doc").alias("p"), F.max("doc").alias("q"))
         many = kinds.groupBy("h").count().where("count > 1")
         kinds = kinds.join(many, "h").withColumn("large", F.col("count") > SHARD).drop("count")
 
         def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def flush(h, rows):
-                pairs, spans = shared_in_shard([(r["around"], r["off"]) for r in rows], k, least)
+                pairs, spans = shared_in_shard([(r["around"], r["off"]) for r in rows], k, least, [(r["p"], r["q"]) for r in rows])
                 for x, y in pairs:
                     out.append((h, rows[x]["c1"], rows[x]["c2"], rows[y]["c1"], rows[y]["c2"], None, None))
                 for n, mine in spans.items():
@@ -240,21 +243,23 @@ class SharedSpans:
                 flush(now, rows)
             yield emit()
 
-        small = kinds.where("not large").select("h", "c1", "c2", "around", "off").repartition("h").sortWithinPartitions("h").mapInArrow(shards, "h long, a1 long, a2 long, b1 long, b2 long, x int, y int")
+        small = kinds.where("not large").select("h", "c1", "c2", "around", "off", "p", "q").repartition("h").sortWithinPartitions("h").mapInArrow(shards, "h long, a1 long, a2 long, b1 long, b2 long, x int, y int")
 
         def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                cols: list[list] = [[] for _ in range(6)]
+                cols: list[list] = [[] for _ in range(8)]
                 for r in batch.to_pylist():
                     for x in range(max(0, r["off"] + k - size), min(r["off"], len(r["around"]) - size) + 1):
                         w1, w2 = _signature(r["around"][x : x + size].encode("utf-8", "surrogatepass"))
-                        for c, v in zip(cols, (r["h"], r["c1"], r["c2"], w1, w2, x)):
+                        for c, v in zip(cols, (r["h"], r["c1"], r["c2"], w1, w2, x, r["p"], r["q"])):
                             c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.int32()])], names=["h", "a1", "a2", "w1", "w2", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.int32()] + [batch.schema.field("p").type] * 2)], names=["h", "a1", "a2", "w1", "w2", "x", "p", "q"])
 
-        cut = kinds.where("large").select("h", "c1", "c2", "around", "off").mapInArrow(windows, "h long, a1 long, a2 long, w1 long, w2 long, x int")
-        again = cut.groupBy("h", "w1", "w2").count().where("count > 1").drop("count")
-        large = written(cut.join(again, ["h", "w1", "w2"]), "windows")
+        cut = kinds.where("large").select("h", "c1", "c2", "around", "off", "p", "q").mapInArrow(windows, f"h long, a1 long, a2 long, w1 long, w2 long, x int, p {doc}, q {doc}")
+        # a window counts if two texts and two records hold it, as in the smaller shards
+        kind = F.struct("a1", "a2")
+        again = cut.groupBy("h", "w1", "w2").agg(F.min(kind).alias("a"), F.max(kind).alias("b"), F.min("p").alias("p"), F.max("q").alias("q")).where("a < b and p < q").select("h", "w1", "w2")
+        large = written(cut.drop("p", "q").join(again, ["h", "w1", "w2"]), "windows")
         other = large.select("h", "w1", "w2", F.col("a1").alias("b1"), F.col("a2").alias("b2"))
         met = large.join(other, ["h", "w1", "w2"]).where("a1 < b1 or (a1 = b1 and a2 < b2)").select("h", "a1", "a2", "b1", "b2").distinct()
         small = written(small, "shards")

@@ -119,6 +119,21 @@ def test_hot_copies_and_hot_boilerplate_stay_whole(spark):
     assert got == brute_pairs(dict(rows), 20)
 
 
+def test_windows_repeated_in_one_text_are_not_shared(spark, monkeypatch):
+    rng = random.Random(2)
+    make = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    core = "xy" * 9
+    texts = {i: make(12) + core + make(12) for i in range(8)} | {50: make(9) + "xy" * 40 + make(9)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    counts = []
+    for shard in (64, 2):
+        monkeypatch.setattr(spans, "SHARD", shard)
+        found = spans.SharedSpans(df, "doc_id", min_chars=20)
+        assert {(r.doc_id_a, r.doc_id_b) for r in found.pairs().collect()} == brute_pairs(texts, 20)
+        counts.append({r.doc: r.shared_chars for r in found.shared().collect()})
+    assert counts[0] == counts[1] and not counts[1].get(50)
+
+
 # -- leaks ------------------------------------------------------------------
 
 
