@@ -154,9 +154,9 @@ class Rewriter:
         self.machine.make_automaton()
         digit = "".join(x for x, r in self.numbers.items() if r.isdigit())
         d = "[" + re.escape(digit) + "]"
-        # what may need a change: anything but plain text, or a letter beside a digit
+        # what may need a change: anything but plain text, a letter beside a digit, or a dash that begins a number
         plain = " -~一-鿿㐀-䶿（）：；。、《》“”‘’？！①-⑳‰–—…·²³"
-        self.odd = re.compile(f"[^{plain}]|[0-9.,]{d}|{d}[0-9.,]|\\|")
+        self.odd = re.compile(f"[^{plain}]|[0-9.,]{d}|{d}[0-9.,]|\\||^ *[–—][0-9]")
         self.word = re.compile(r"[^\W\d_]+")
         self.alike = set(self.words)
         self.run = re.compile(f"(?<![A-Za-z])(?:[0-9]|{d})(?:[0-9]|{d}|[.,，．﹐﹒](?=[0-9]|{d}))*")

@@ -210,6 +210,18 @@ def test_consistent_forms_table(spark):
     assert forms.consistent_forms(df.limit(0), ["row_id"], "city").count() == 0
 
 
+def test_the_fast_path_skips_no_rule():
+    import re
+
+    fast, rules = forms.Rewriter(), forms.Rewriter()
+    rules.odd = re.compile("")
+    assert [fast.form(t) for t in ("–12.5", " —3", "—", "2019–2020")] == ["-12.5", " -3", "—", "2019–2020"]
+    rng = random.Random(1)
+    for _ in range(20_000):
+        t = "".join(rng.choice("0123456789.,- –—+/|lOoISZBlabcxyz市年（）：；。、“”‘’①‰…·²³%") for _ in range(rng.randint(1, 6)))
+        assert fast.form(t) == rules.form(t)
+
+
 # -- wrong decodings --------------------------------------------------------
 
 NAMES = ["蔚菱鹿市", "绿岭湄市", "韶珞鹿市", "菀雁蟾市", "荻绿翠自治州", "钧泠梓地区", "青梓暄市", "岑鼓溪市", "鼓里葭市", "鹿梧垣市"]
