@@ -1,16 +1,18 @@
 """Text that was decoded with the wrong character encoding.
 
 A multinomial classifier over hashed byte bigrams is trained on clean titles
-and on the same titles garbled by each encoding chain, wholly and in part. The
-chains are tried in the order it predicts; one counts only if its inversion
-decodes strictly and the text so restored is likelier under the clean class
-than the text found.
+and on the same titles garbled by each encoding chain. It labels every
+character of a text with the clean class or a chain: the labels of least cost
+along the text, where each change of label costs ``SWITCH`` (Viterbi), so a
+garbled part is found wherever it stands and however long the text is. The
+chain predicted for a part is inverted; it counts only if its inversion decodes
+strictly and the text so restored is likelier under the clean class than the
+text found. The next chains are tried only if that fails, or if the classifier
+holds them for as likely up to ``NEAR``.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +21,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Clean titles the classifier is fitted on, at most (the ones with the least hashes).
-SAMPLE = 12_000
+from ..functions.skew import join_unique
+from ..tables import written
+
+#: Titles the classifier is fitted on, at most (the distinct ones with the least hashes), and of those, how many are garbled.
+SAMPLE, GARBLED = 12_000, 2_000
 DIMS = 1 << 15
-#: How much likelier, in nats, a restored text must be.
-GAIN = 2.0
-#: Longer texts are cut only near the places where the likelihood turns.
-CUTS = 200
+#: Bits of the hashed trigrams.
+TRIPLES = 19
+#: Share of a class's probability that all bigrams have alike, seen or not.
+UNSEEN = 1e-3
+#: What a change of label costs, how much likelier a restored part must be, and how close chains are that the classifier doesn't tell apart, in nats.
+SWITCH, GAIN, NEAR = 3.0, 2.0, 8.0
+#: How far the ends of a labelled part are moved, in characters, to make its inversion strict.
+SLACK = 2
+#: Bytes of text labelled at once.
+BLOCK = 1 << 16
 
 _C1 = {}
 for _b in range(0x80, 0xA0):
@@ -98,186 +109,286 @@ def invert(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     return text
 
 
-def _lacking(text: str, name: str) -> tuple[int, int]:
-    """Where the first character that an encoding lacks stands, and the place after the last one; (length, 0) without any."""
-    try:
-        _encode(text, name)
-    except UnicodeEncodeError as e:
-        first = e.start
-        try:
-            _encode(text[::-1], name)
-        except UnicodeEncodeError as back:
-            return first, len(text) - back.start
-    return len(text), 0
-
-
-def bigrams(text: str) -> np.ndarray:
-    """Hashed byte bigrams of the text in UTF-8, with a mark at either end."""
-    b = np.frombuffer(b"\x01" + text.encode("utf-8", "surrogatepass") + b"\x02", np.uint8).astype(np.uint32)
+def _hashes(data: bytes) -> np.ndarray:
+    """Hashed bigrams of the bytes; entry i belongs to byte i + 1."""
+    b = np.frombuffer(data, np.uint8).astype(np.uint32)
     return ((b[:-1] * np.uint32(256) + b[1:]) * np.uint32(2654435761)) >> np.uint32(17)
 
 
-def _symbols(text: str) -> bool:
-    """Whether a text holds what no title does: replacement characters, controls, private use or lone symbols of box drawing."""
-    return bool(_ODD.search(text))
+def _marked(texts: list[str]) -> bytes:
+    """The texts in UTF-8, each between two marks."""
+    return b"".join(b"\x01" + t.encode("utf-8", "surrogatepass") + b"\x02" for t in texts)
+
 
+def _parts(texts: list[str], size: int = BLOCK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes together."""
+    start, n = 0, 0
+    for i, t in enumerate(texts):
+        n += 3 * len(t) + 2
+        if n >= size:
+            yield start, i + 1
+            start, n = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
-_ODD = re.compile("[\x80-\x9f�-\U000f0000-\U0010ffff]")
-#: Runs of what bytes from 0x80 on become in the western encodings.
-_WEST = re.compile("[\x80-\xff" + "".join(_TO_1252.values()) + "]{2,}")
-_RUN = re.compile("[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*")
 
+def _lost(text: str) -> bool:
+    """Whether bytes are lost for good: the text holds replacement characters."""
+    return "\ufffd" in text
 
-def western(text: str) -> tuple[str, str] | None:
-    """(chain, text) with every run undone that is UTF-8 read in a western encoding, None if there is no such run.
 
-    A run of several western characters whose bytes are valid UTF-8 hardly
-    ever arises otherwise, so this needs no likelihood.
+class Language:
+    """How likely text is as clean text: each byte given the two before it, with the one before it as a fallback.
+
+    Counts of bigrams and hashed trigrams of the clean titles. The wider
+    context knows the script, which a classifier that must generalise from
+    bigrams does not.
     """
-    out, at, found, special = [], 0, False, False
-    for m in _WEST.finditer(text):
-        got = invert(m[0], (("utf-8", "cp1252"),))
-        if got is not None:
-            out += [text[at : m.start()], got]
-            at, found = m.end(), True
-            special |= any(ord(c) > 0xFF for c in m[0])
-    if not found:
-        return None
-    return ("utf-8 as cp1252" if special or not re.search("[\x80-\x9f]", text) else "utf-8 as latin-1"), "".join(out) + text[at:]
+
+    def __init__(self, pairs: np.ndarray, triples: np.ndarray):
+        self.pairs, self.triples = pairs, triples
+        self.ones = pairs.reshape(256, 256).sum(axis=1)
+
+    @staticmethod
+    def keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, hashed triple) that ends at each byte from the third on."""
+        b = np.frombuffer(data, np.uint8).astype(np.uint32)
+        pair = b[:-1] * np.uint32(256) + b[1:]
+        triple = ((pair[:-1] * np.uint32(256) + b[2:]) * np.uint32(2654435761)) >> np.uint32(32 - TRIPLES)
+        return pair, triple
+
+    @classmethod
+    def fit(cls, titles: list[str]) -> Language:
+        pairs, triples = np.zeros(1 << 16, np.float32), np.zeros(1 << TRIPLES, np.float32)
+        for a, b in _parts(titles, 1 << 22):
+            pair, triple = cls.keys(_marked(titles[a:b]))
+            pairs += np.bincount(pair, minlength=len(pairs)).astype(np.float32)
+            triples += np.bincount(triple, minlength=len(triples)).astype(np.float32)
+        return cls(pairs, triples)
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        """Log-probability of each text."""
+        marked = [_marked([t]) for t in texts]
+        starts = np.concatenate([[0], np.cumsum([len(m) for m in marked[:-1]])]).astype(np.int64)
+        pair, triple = self.keys(b"".join(marked))
+        short = (self.pairs[pair[1:]] + 2 / 256) / (self.ones[pair[1:] >> 8] + 2)
+        each = np.zeros(len(pair) + 1)
+        each[2:] = np.log((self.triples[triple] + 3 * short) / (self.pairs[pair[:-1]] + 3))
+        each[starts] = each[starts + 1] = 0
+        return np.add.reduceat(each, starts)
 
 
 @dataclass
 class Classifier:
-    """Log-probabilities of the hashed bigrams, row 0 the clean class, row i+1 ``CHAINS[i]``; and the characters of the clean titles."""
+    """Log-probabilities of the hashed bigrams, one row a bigram; column 0 is the clean class, column i+1 ``CHAINS[i]``."""
 
     weights: np.ndarray
-    known: frozenset[str]
+    clean: Language
 
     @classmethod
-    def fit(cls, titles: list[str], seed: int = 7) -> Classifier:
-        """Trains twice: the second time without the titles that the first one finds garbled or nearly so."""
-        titles = sorted(set(titles))
-        first = cls._train([t for t in titles if western(t) is None], seed)
-        clean = [t for t in titles if t.isascii() or western(t) is None and ((b := first.best(t)) is None or b[0] < -GAIN)]
-        return cls._train(clean, seed) if clean else first
+    def fit(cls, titles: list[str], garbled: int = GARBLED, seed: int = 7) -> Classifier:
+        """Trains three times, each time without the titles that the model before finds garbled."""
+        titles = list(dict.fromkeys(t for t in titles if t))
+        model = cls._train([t for t in titles if not _lost(t)], garbled // 4, seed)
+        for n in (garbled // 4, garbled):
+            clean = [t for t, found in zip(titles, model.judged(titles, depth=1)) if found is None]
+            model = cls._train(clean, n, seed)
+        return model
 
     @classmethod
-    def _train(cls, titles: list[str], seed: int) -> Classifier:
+    def _train(cls, titles: list[str], garbled: int, seed: int) -> Classifier:
         rng = np.random.default_rng(seed)
-        titles = [t for t in titles if t and not _symbols(t)]
-        counts = np.full((len(CHAINS) + 1, DIMS), 0.01)
-
-        def add(row: int, texts: list[str]) -> None:
-            if texts:
-                counts[row] += np.bincount(np.concatenate([bigrams(t) for t in texts]), minlength=DIMS)
-
-        add(0, titles)
-        some = titles[:: max(1, len(titles) // 1500)]
-        wide = [t for t in some if not t.isascii()]
+        counts = np.zeros((len(CHAINS) + 1, DIMS))
+        for a, b in _parts(titles, 1 << 22):
+            counts[0] += np.bincount(_hashes(_marked(titles[a:b])), minlength=DIMS)
+        wide = [t for t in titles if not t.isascii()][:garbled]
+        cuts = [sorted(rng.integers(0, len(t) + 1, 2).tolist()) for t in wide]
+        pieces = [t[a:b] for t, (a, b) in zip(wide, cuts) if a < b]
         for i, chain in enumerate(CHAINS):
-            out = []
-            for t in wide:
-                out.append(garble(t, chain))
-                cut = int(rng.integers(0, len(t) + 1))
-                out.append(garble(t[:cut], chain) + t[cut:] if rng.random() < 0.5 else t[:cut] + garble(t[cut:], chain))
-            add(i + 1, out)
-        seen = Counter(c for t in titles for c in set(t))
-        least = 2 if len(titles) > 1000 else 1  # one clean title may still be garbled unnoticed
-        return cls(np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), frozenset(c for c, n in seen.items() if n >= least))
-
-    def clean(self, text: str) -> float:
-        """Log-odds of the text between the clean class and chance."""
-        return float(self.weights[0][bigrams(text)].sum()) + len(bigrams(text)) * float(np.log(DIMS / 4))
-
-    def ranking(self, text: str) -> tuple[list[int], float]:
-        """Chains by posterior, the likeliest first, and the posterior of the clean class."""
-        score = self.weights[:, bigrams(text)].sum(axis=1).astype(float)
-        post = np.exp(score - score.max())
-        post /= post.sum()
-        return (np.argsort(-score[1:], kind="stable")).tolist(), float(post[0])
-
-    def best(self, text: str) -> tuple[float, int, str] | None:
-        """(gain in nats, chain, restored text) of the inversion that makes the text likeliest, of equals the chain predicted first."""
-        order, _ = self.ranking(text)
-        base, best, had = self.clean(text), None, set(text)
-        cuts = self._cuts(text)
-        # many parts are tried of every text, so that the best of them must be likelier by their number
-        price = float(np.log(2 * len(CHAINS) * (len(cuts) + 1)))
-        for i in order:
-            for got, part in self._inversions(text, CHAINS[i], cuts):
-                new = set(got) - had
-                if 3 * len(new - self.known) > len(new):  # restored to what no clean title holds
-                    continue
-                gain = self.clean(got) - base - (price if part else 0.0)
-                if best is None or gain > best[0] + 1e-6:
-                    best = gain, i, got
-        return best
+            out = [garble(t, chain) for t in (*wide, *pieces)]
+            for a, b in _parts(out, 1 << 22):
+                counts[i + 1] += np.bincount(_hashes(_marked(out[a:b])), minlength=DIMS)
+        share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        return cls(np.ascontiguousarray(np.log((1 - UNSEEN) * share + UNSEEN / DIMS).astype(np.float32).T), Language.fit(titles))
+
+    def evidence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log-probabilities of each class for each character, first character of each text and the end of the last).
+
+        A bigram speaks for the character of its second byte. ASCII, which
+        every chain leaves as it is, speaks for no class.
+        """
+        data = _marked(texts)
+        b = np.frombuffer(data, np.uint8)
+        first = np.flatnonzero((b & 0xC0) != 0x80)
+        lengths = np.array([len(t) + 2 for t in texts])
+        w = self.weights[_hashes(data)]
+        sums = np.add.reduceat(np.concatenate([np.zeros((1, w.shape[1]), np.float32), w]), first, axis=0)
+        sums[b[first] < 0x80] = 0
+        return sums, np.concatenate([[0], np.cumsum(lengths)])
+
+    def labelled(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """For each text its parts (start, end, chain) that are labelled with a chain, in order."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        ranked = [texts[i] for i in order]
+        for a, b in _parts(ranked):
+            for i, parts in zip(order[a:b], self._viterbi(ranked[a:b])):
+                out[i] = parts
+        return out
+
+    def _viterbi(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """As ``labelled``, all texts side by side, one step for each place of the longest."""
+        e, at = self.evidence(texts)
+        n, k = len(texts), e.shape[1]
+        lengths = np.diff(at) - 2
+        longest = int(lengths.max())
+        stayed = np.zeros((longest, n, k), bool)
+        top = np.zeros((longest, n), np.int8)
+        score = np.full((n, k), -SWITCH, np.float32)
+        score[:, 0] = 0
+        for t in range(longest):
+            live = np.flatnonzero(lengths > t)
+            s = score[live]
+            best = s.argmax(axis=1)
+            change = s[np.arange(len(live)), best] - np.float32(SWITCH)
+            stayed[t, live] = s >= change[:, None]
+            top[t, live] = best
+            score[live] = np.maximum(s, change[:, None]) + e[at[live] + 1 + t]
+        score[:, 1:] -= SWITCH  # a text ends as it begins, in the clean class
+        out = []
+        for i in range(n):
+            parts: list[tuple[int, int, int]] = []
+            label, end = int(score[i].argmax()), int(lengths[i])
+            if label == 0 and not (top[: lengths[i], i] != 0).any() and stayed[: lengths[i], i, 0].all():
+                out.append(parts)
+                continue
+            for t in range(end - 1, -1, -1):
+                before = label if stayed[t, i, label] else int(top[t, i])
+                if before != label or t == 0:
+                    begin = t
+                    if label:
+                        parts.append((begin, end, label - 1))
+                    end, label = t, before
+            out.append(parts[::-1])
+        return out
+
+    def ranking(self, text: str) -> tuple[list[int], int]:
+        """Chains by their likelihood for a part, the likeliest first, and how many of them are as likely up to ``NEAR``."""
+        e = self.evidence([text])[0].sum(axis=0)[1:]
+        order = np.argsort(-e, kind="stable")
+        return order.tolist(), int((e >= e.max() - NEAR).sum())
+
+    def _undone(self, text: str, start: int, end: int, least: int) -> tuple[int, int, str, int] | None:
+        """(start, end, restored part, chain) of the part near ``start`` to ``end`` that a chain restores, None if none does.
+
+        The chains come in the order predicted for the part. One restores it if
+        its inversion is strict and makes the text likelier; the ends are moved
+        by up to ``SLACK`` for that, though not before ``least``. Of the chains
+        the classifier doesn't tell apart the one with the likeliest text counts.
+        """
+        if end <= least:
+            return None
+        start = max(start, least)
+        lo, hi = max(least, start - SLACK), min(len(text), end + SLACK)
+        left, right = text[max(0, lo - 1) : lo], text[hi : hi + 1]
+        spans = [(a, b) for a in range(lo, min(start + SLACK, end - 1) + 1) for b in range(max(a + 1, end - SLACK), hi + 1)]
+        core = text[max(a for a, _ in spans) : min(b for _, b in spans)]
+        order, near = self.ranking(text[start:end])
+        fits: dict[str, bool] = {}
+        for chains in (order[:near], order[near:]):
+            tried: dict[str, tuple[int, int, str, int]] = {}
+            for chain in chains:
+                last = CHAINS[chain][-1][1]
+                if last not in fits:
+                    fits[last] = _fits(core, last)
+                for a, b in spans if fits[last] else ():
+                    got = invert(text[a:b], CHAINS[chain])
+                    if got is not None and got != text[a:b]:
+                        tried.setdefault(text[lo:a] + got + text[b:hi], (a, b, got, chain))
+            if tried:
+                scores = self.clean([left + new + right for new in (text[lo:hi], *tried)])
+                best = int(scores[1:].argmax())
+                if scores[best + 1] > scores[0] + GAIN + np.log(len(tried)):  # the best of many is likelier by chance
+                    return list(tried.values())[best]
+        return None
 
     def judge(self, text: str) -> tuple[str, str | None] | None:
-        """(chain, restored text) of a garbled text, None of a clean one; the restored text is None where bytes are lost."""
-        if text.isascii():
-            return None
-        if (west := western(text)) is not None:
-            deeper = self.judge(west[1])
-            lost = "\ufffd" in text or deeper is not None and deeper[1] is None
-            return west[0] if deeper is None else f"{deeper[0]}, {west[0]}", None if lost else deeper[1] if deeper else west[1]
-        best = self.best(text)
-        good = best is not None and best[0] > GAIN
-        if "\ufffd" in text:  # bytes are lost
-            return chain_name(CHAINS[best[1] if good else self.ranking(text)[0][0]]), None
-        return (chain_name(CHAINS[best[1]]), best[2]) if good else None
-
-    def _cuts(self, text: str) -> list[int]:
-        """Where a garbled part may begin or end: anywhere in short texts, near the turns of the likelihood in long ones."""
-        n = len(text)
-        if n <= CUTS:
-            return list(range(1, n))
-        odds = np.cumsum(self.weights[0][bigrams(text)] + float(np.log(DIMS / 4)))
-        at = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in text])
-        turns = [int(np.searchsorted(at, b)) for b in (odds.argmax(), odds.argmin())]
-        return sorted({c for t in turns for c in range(max(1, t - 16), min(n, t + 17))})
+        """``judged`` for one text."""
+        return self.judged([text])[0]
+
+    def judged(self, texts: list[str], depth: int = 3) -> list[tuple[str, str | None] | None]:
+        """For each text (chain, restored text) if it is garbled, else None; the restored text is None where bytes are lost."""
+        out: list[tuple[str, str | None] | None] = [None] * len(texts)
+        again: list[int] = []
+        for i, (text, parts) in enumerate(zip(texts, self.labelled(texts))):
+            names, pieces, upto, lost = [], [], 0, False
+            for group in _groups(text, parts):
+                # parts that only ASCII separates may be one, labelled with chains that are alike
+                got = self._undone(text, group[0][0], group[-1][1], upto) if len(group) > 1 else None
+                for start, end, predicted in group if got is None else [(group[0][0], group[-1][1], group[0][2])]:
+                    if _lost(text[start:end]):  # a wrong decoding left its mark, but nothing that could be inverted
+                        names.append(chain_name(CHAINS[predicted]))
+                        lost = True
+                        continue
+                    found = got or self._undone(text, start, end, upto)
+                    if found is not None:
+                        a, b, restored, chain = found
+                        pieces += [text[upto:a], restored]
+                        upto = b
+                        names.append(chain_name(CHAINS[chain]))
+            if names:
+                restored = None if lost else "".join(pieces) + text[upto:]
+                out[i] = "; ".join(dict.fromkeys(names)), restored
+                if restored is not None and depth > 1:
+                    again.append(i)
+        # what is still garbled had been garbled more often
+        for i, deeper in zip(again, self.judged([out[i][1] for i in again], depth - 1) if again else []):
+            if deeper is not None:
+                out[i] = f"{deeper[0]}, {out[i][0]}", deeper[1]
+        return out
+
+
+def _fits(text: str, encoding: str) -> bool:
+    try:
+        _encode(text, encoding)
+    except UnicodeError:
+        return False
+    return True
 
-    @staticmethod
-    def _inversions(text: str, chain: tuple[tuple[str, str], ...], cuts: list[int]) -> Iterator[tuple[str, bool]]:
-        """(restored text, whether only a part of it was undone)."""
-        whole = invert(text, chain)
-        if whole is not None and whole != text:
-            yield whole, False
-        # runs of letters beyond ASCII, each on its own
-        out, at, any_ = [], 0, False
-        for m in _RUN.finditer(text):
-            got = invert(m[0], chain)
-            out += [text[at : m.start()], m[0] if got is None else got]
-            any_ |= got is not None and got != m[0]
-            at = m.end()
-        if any_:
-            yield "".join(out) + text[at:], True
-        # a garbled front or a garbled rest, neither of which can hold what the last encoding lacks
-        first, after = _lacking(text, chain[-1][1])
-        for cut in cuts:
-            if cut >= after and not text[cut:].isascii() and (got := invert(text[cut:], chain)) is not None and got != text[cut:]:
-                yield text[:cut] + got, True
-            if cut <= first and not text[:cut].isascii() and (got := invert(text[:cut], chain)) is not None and got != text[:cut]:
-                yield got + text[cut:], True
+
+def _groups(text: str, parts: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Neighbouring parts that at most ASCII separates."""
+    group: list[tuple[int, int, int]] = []
+    for part in parts:
+        if group and not text[group[-1][1] : part[0]].isascii():
+            yield group
+            group = []
+        group.append(part)
+    if group:
+        yield group
 
 
 def garbled(df: DataFrame, text: str, sample: int = SAMPLE) -> DataFrame:
     """``text, chain, restored`` for every distinct text that is wholly or partly the result of a wrong decoding.
 
-    ``chain`` is the predicted chain; ``restored`` the original, or null where
-    bytes are lost (the text holds replacement characters). The classifier is
-    fitted on the driver on at most ``sample`` distinct texts, those with the
-    least hashes; every text is judged. Null, empty and ASCII texts are never
-    garbled. Texts of any length are judged whole.
+    ``chain`` is the chain that was inverted (several for a text with several
+    garbled parts); ``restored`` the original, or null where bytes are lost
+    (the text holds replacement characters). The classifier is fitted on the
+    driver on at most ``sample`` distinct texts, those with the least hashes,
+    of which at most ``GARBLED`` are garbled for training; every text is
+    judged, whole and in time linear in its length. Null, empty and ASCII
+    texts are never garbled.
     """
     distinct = df.select(F.col(text).alias("text")).where("text is not null and text <> ''").distinct()
     fitted = Classifier.fit([r.text for r in distinct.orderBy(F.xxhash64("text"), "text").limit(sample).collect()])
-    sent = df.sparkSession.sparkContext.broadcast((fitted.weights, fitted.known))
+    sent = df.sparkSession.sparkContext.broadcast((fitted.weights, fitted.clean.pairs, fitted.clean.triples))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(*sent.value)
+        weights, *counts = sent.value
+        model = Classifier(weights, Language(*counts))
         for b in batches:
-            found = [(t, *got) for t in b.column(0).to_pylist() if (got := model.judge(t)) is not None]
+            texts = b.column(0).to_pylist()
+            found = [(t, *got) for t, got in zip(texts, model.judged(texts)) if got is not None]
             cols = list(zip(*found)) if found else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["text", "chain", "restored"])
 
@@ -287,6 +398,11 @@ def garbled(df: DataFrame, text: str, sample: int = SAMPLE) -> DataFrame:
 
 
 def garbled_rows(df: DataFrame, key: str, text: str, sample: int = SAMPLE) -> DataFrame:
-    """``key, text, chain, restored`` of every row whose text is garbled; repeated rows stay repeated."""
-    found = garbled(df, text, sample)
-    return df.select(key, F.col(text).alias("text")).join(found, "text").select(key, "text", "chain", "restored")
+    """``key, text, chain, restored`` of every row whose text is garbled; repeated rows stay repeated.
+
+    A title that holds over 2 % of the rows meets a broadcast of the at most
+    50 such titles; the others are joined by shuffle.
+    """
+    found = written(garbled(df, text, sample), "garbled")
+    rows = df.select(key, F.col(text).alias("text"))
+    return join_unique(rows, found, "text").where("chain is not null").select(key, "text", "chain", "restored")
