@@ -13,6 +13,7 @@ holds them for as likely up to ``NEAR``.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -187,13 +188,28 @@ class Classifier:
 
     @classmethod
     def fit(cls, titles: list[str], garbled: int = GARBLED, seed: int = 7) -> Classifier:
-        """Trains three times, each time without the titles that the model before finds garbled."""
+        """Trains three times, each time without the titles found garbled before.
+
+        A model holds what it has seen for clean, so each half of the titles is judged by a model of the other half.
+        Against a single character that the other half merely lacks, a model of all titles must agree.
+        """
         titles = list(dict.fromkeys(t for t in titles if t))
-        model = cls._train([t for t in titles if not _lost(t)], garbled // 4, seed)
-        for n in (garbled // 4, garbled):
-            clean = [t for t, found in zip(titles, model.judged(titles, depth=1)) if found is None]
-            model = cls._train(clean, n, seed)
-        return model
+        halves = [[], []]
+        for t in titles:
+            halves[zlib.crc32(t.encode("utf-8", "surrogatepass")) & 1].append(t)
+        found: set[str] = set(filter(_lost, titles))
+        for _ in range(2):
+            every = cls._train([t for t in titles if t not in found], garbled // 4, seed)
+            now: set[str] = set(filter(_lost, titles))
+            doubtful = []
+            for mine, others in (halves, halves[::-1]):
+                model = cls._train([t for t in others if t not in found], garbled // 4, seed)
+                for t, got in zip(mine, model._judged(mine)):
+                    if got is not None:
+                        now.add(t) if got[2] > 1 else doubtful.append(t)
+            now.update(t for t, got in zip(doubtful, every._judged(doubtful)) if got is not None)
+            found = now
+        return cls._train([t for t in titles if t not in found], garbled, seed)
 
     @classmethod
     def _train(cls, titles: list[str], garbled: int, seed: int) -> Classifier:
@@ -318,10 +334,19 @@ class Classifier:
 
     def judged(self, texts: list[str], depth: int = 3) -> list[tuple[str, str | None] | None]:
         """For each text (chain, restored text) if it is garbled, else None; the restored text is None where bytes are lost."""
-        out: list[tuple[str, str | None] | None] = [None] * len(texts)
-        again: list[int] = []
-        for i, (text, parts) in enumerate(zip(texts, self.labelled(texts))):
-            names, pieces, upto, lost = [], [], 0, False
+        out = [got and got[:2] for got in self._judged(texts)]
+        # what is still garbled had been garbled more often
+        again = [i for i, got in enumerate(out) if got is not None and got[1] is not None] if depth > 1 else []
+        for i, deeper in zip(again, self.judged([out[i][1] for i in again], depth - 1) if again else []):
+            if deeper is not None:
+                out[i] = f"{deeper[0]}, {out[i][0]}", deeper[1]
+        return out
+
+    def _judged(self, texts: list[str]) -> list[tuple[str, str | None, int] | None]:
+        """(chain, text with one chain undone, length of the longest garbled part) of each garbled text."""
+        out: list[tuple[str, str | None, int] | None] = []
+        for text, parts in zip(texts, self.labelled(texts)):
+            names, pieces, upto, lost, widest = [], [], 0, False, 0
             for group in _groups(text, parts):
                 # parts that only ASCII separates may be one, labelled with chains that are alike
                 got = self._undone(text, group[0][0], group[-1][1], upto) if len(group) > 1 else None
@@ -330,21 +355,13 @@ class Classifier:
                         names.append(chain_name(CHAINS[predicted]))
                         lost = True
                         continue
-                    found = got or self._undone(text, start, end, upto)
-                    if found is not None:
-                        a, b, restored, chain = found
+                    undone = got or self._undone(text, start, end, upto)
+                    if undone is not None:
+                        a, b, restored, chain = undone
                         pieces += [text[upto:a], restored]
-                        upto = b
+                        upto, widest = b, max(widest, b - a)
                         names.append(chain_name(CHAINS[chain]))
-            if names:
-                restored = None if lost else "".join(pieces) + text[upto:]
-                out[i] = "; ".join(dict.fromkeys(names)), restored
-                if restored is not None and depth > 1:
-                    again.append(i)
-        # what is still garbled had been garbled more often
-        for i, deeper in zip(again, self.judged([out[i][1] for i in again], depth - 1) if again else []):
-            if deeper is not None:
-                out[i] = f"{deeper[0]}, {out[i][0]}", deeper[1]
+            out.append(("; ".join(dict.fromkeys(names)), None if lost else "".join(pieces) + text[upto:], widest) if names else None)
         return out
 
 
