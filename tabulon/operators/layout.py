@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.text import number, stripped
+
 PAGE = ("source_sha256", "page")
 
 
@@ -51,39 +53,55 @@ def by_group(df: DataFrame, key: Sequence[str], order: Sequence[str], fn, column
     return df.select(*columns).repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, target)
 
 
-def bands_of(words: list[dict]) -> list[tuple[int, int]]:
-    """(word_id, band) of the words of one page.
+class _Band:
+    """A row of words: its middle is the median of the middles of those words that are not small beside the newest."""
+
+    __slots__ = ("heights", "middle", "middles", "number", "tall")
+
+    def __init__(self, number: int):
+        self.number, self.middle, self.tall = number, 0.0, 0.0
+        self.middles: list[float] = []
+        self.heights: list[float] = []
+
+    def reach(self, height: float) -> float:
+        """How far from the middle a word of this height may lie."""
+        return max(12.0, min(40.0, 0.55 * max(height, self.tall)))
+
+    def take(self, middle: float, height: float) -> None:
+        self.middles.append(middle)
+        self.heights.append(height)
+        self.tall = max(self.tall, height)
+        self.middle = statistics.median(m for m, h in zip(self.middles, self.heights) if h >= 0.6 * height)
+
+
+def bands_of(words: list[dict]) -> list[tuple[int, int, float, float]]:
+    """(word_id, band, middle, tall) of the words of one page; middle and height are those of the finished band.
 
-    Words go down the page by the middle of their height; one joins the
-    latest of the last five bands whose middle is near, within 0.55 of the
-    greater height but 12 at least and 40 at most; a band's middle is the
-    median of the middles of its words of at least the band's median height.
-    Words without a place have no band.
+    Words go down the page by the middle of their height; one joins the first
+    of the last five bands whose middle is near, within 0.55 of the greater
+    height but 12 at least and 40 at most. Words without a place have no band.
     """
-    bands: list[dict] = []
-    out = []
-    placed = [w for w in words if w["y"] is not None and w["h"] is not None]
-    for w in sorted(placed, key=lambda w: (w["y"] + w["h"] / 2, w["x"] if w["x"] is not None else 0.0, w["word_id"])):
-        middle = w["y"] + w["h"] / 2
-        found = None
-        for b in reversed(bands[-5:]):
-            if abs(b["y"] - middle) <= max(12.0, min(40.0, 0.55 * max(b["h"], w["h"]))):
-                found = b
-                break
-        if found is None:
-            found = {"n": len(bands), "y": middle, "h": w["h"], "words": []}
-            bands.append(found)
-        found["words"].append((middle, w["h"]))
-        found["h"] = max(found["h"], w["h"])
-        tall = statistics.median(h for _, h in found["words"])
-        found["y"] = statistics.median(m for m, h in found["words"] if h >= tall)
-        out.append((w["word_id"], found["n"]))
-    return out
+    placed = sorted((w["y"] + w["h"] / 2, w["word_id"], w["h"]) for w in words if w["y"] is not None and w["h"] is not None)
+    bands: list[_Band] = []
+    of: list[tuple[int, _Band]] = []
+    for middle, word, height in placed:
+        near = (b for b in bands[-5:] if abs(b.middle - middle) <= b.reach(height))
+        band = next(near, None)
+        if band is None:
+            band = _Band(len(bands))
+            bands.append(band)
+        band.take(middle, height)
+        of.append((word, band))
+    return [(word, band.number, band.middle, band.tall) for word, band in of]
 
 
 def row_bands(words: DataFrame) -> DataFrame:
-    """(word_id, band) of every word with a place; repeated recognitions of a page are banded together."""
-    return by_group(words, PAGE, ("word_id",), bands_of, ["word_id", *PAGE, "x", "y", "h"], "word_id long, band int")
+    """(word_id, band, middle, tall) of every word with a place; repeated recognitions of a page are banded together.
+
+    The words of a page are gathered in one task: a page holds what was
+    printed on it, however large the corpus is.
+    """
+    return by_group(words, PAGE, ("word_id",), bands_of, ["word_id", *PAGE, "y", "h"], "word_id long, band int, middle double, tall double")
 
 
 def undoubled(words: list[dict]) -> list[tuple[int]]:
@@ -100,20 +118,38 @@ def without_tile_copies(words: DataFrame) -> DataFrame:
     return by_group(words, (*PAGE, "text"), ("word_index", "word_id"), undoubled, ["word_id", *PAGE, "text", "word_index", "x", "y"], "word_id long")
 
 
-def numeric_looking(c: Column) -> Column:
-    return F.coalesce(c.rlike(r"^[-+]?[0-9][0-9,.]*[%‰]?$"), F.lit(False))
+def literal_text(c: Column) -> Column:
+    """Text with full-width points, commas and percent signs made half-width, and without spaces at its ends."""
+    return F.translate(stripped(c), "．，％", ".,%")
 
 
-def literal_groups(words: DataFrame, line: Sequence[str]) -> DataFrame:
-    """(word_id, literal): numeric-looking words of a line in order of x, split where the gap is wide.
+def with_literals(words: DataFrame, line: Sequence[str]) -> DataFrame:
+    """(line, literal, first_word, c, lo, hi): the numbers of each line, put together from neighbouring words of digits and signs.
 
-    The gap to the word before must stay under max(10, 0.7 of the lesser height).
+    Words in order of x are one literal while the gap to the word before stays
+    under max(10, 0.7 of the lesser height); what then reads as no number is
+    left out. ``c`` is the mean of the words' centres, ``lo`` and ``hi`` the
+    ends, as parts of the page's width.
     """
+    groups = literal_groups(words, line)
+    width = F.first("page_width")
+    found = groups.groupBy(*line, "literal").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", "word_id", "bare"))), lambda s: s["bare"]), "").alias("t"),
+        F.min(F.struct("x", "word_id"))["word_id"].alias("first_word"),
+        (F.avg(F.col("x") + F.col("w") / 2) / width).alias("c"),
+        (F.min("x") / width).alias("lo"),
+        (F.max(F.col("x") + F.col("w")) / width).alias("hi"),
+    )
+    return found.where(number(F.col("t")).isNotNull()).select(*line, F.col("t").alias("literal"), "first_word", "c", "lo", "hi")
+
+
+def literal_groups(words: DataFrame, line: Sequence[str]) -> DataFrame:
+    """Words of digits and signs with ``bare``, their text, and ``literal``, the number of their group in the line."""
     w = Window.partitionBy(*line).orderBy("x", "word_id")
-    some = words.where(numeric_looking(F.col("text")) & F.col("x").isNotNull() & F.col("w").isNotNull() & F.col("h").isNotNull())
+    some = words.withColumn("bare", literal_text(F.col("text"))).where(F.col("bare").rlike(r"^[0-9.,+\-%]+\z") & F.col("x").isNotNull() & F.col("w").isNotNull() & F.col("h").isNotNull())
     gap = F.col("x") - F.lag(F.col("x") + F.col("w")).over(w)
     wide = F.when(gap.isNull() | (gap >= F.greatest(F.lit(10.0), 0.7 * F.least("h", F.lag("h").over(w)))), 1).otherwise(0)
-    return some.withColumn("wide", wide).select("word_id", F.sum("wide").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("literal"))
+    return some.withColumn("wide", wide).withColumn("literal", F.sum("wide").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("wide")
 
 
 def in_columns(words: DataFrame, bounds: Sequence[tuple[str, float, float]]) -> DataFrame:

@@ -256,8 +256,11 @@ def record_identity_sha(spark, sf):
     return table(spark, sf, "candidates").select("row_id", text.identity(c("source_row_id"), c("year"), c("indicator"), c("geographic_scope")).alias("identity"))
 
 
-@query("""SELECT c.row_id, CASE WHEN h.lo IS NULL THEN 'uncaptured' WHEN c.sha256 = h.lo OR c.sha256 = h.hi THEN 'matched' ELSE 'mismatch' END AS status
-FROM candidates c LEFT JOIN (SELECT file, min(sha256) AS lo, max(sha256) AS hi FROM captures WHERE deleted_at IS NULL AND file IS NOT NULL GROUP BY 1) h ON h.file = c.file""")
+_LIVING = "(SELECT DISTINCT file, sha256 FROM captures WHERE deleted_at IS NULL AND file IS NOT NULL AND sha256 IS NOT NULL)"
+
+
+@query(f"""SELECT c.row_id, CASE WHEN f.file IS NULL THEN 'uncaptured' WHEN h.file IS NOT NULL THEN 'matched' ELSE 'mismatch' END AS status
+FROM candidates c LEFT JOIN {_LIVING} h ON h.file = c.file AND h.sha256 = c.sha256 LEFT JOIN (SELECT DISTINCT file FROM {_LIVING}) f ON f.file = c.file""")
 def evidence_hash_join(spark, sf):
     return audit.hash_status(table(spark, sf, "candidates"), table(spark, sf, "captures"))
 
@@ -438,13 +441,22 @@ def low_confidence_words(spark, sf):
 
 
 _NUMERIC = r"^[-+]?[0-9][0-9,.]*[%‰]?$"
+_BARE = f"translate({strip_sql('text')}, '．，％', '.,%')"
+_LITERALS = f"""(WITH s AS (SELECT *, {_BARE} AS bare, lag(x + w) OVER p AS before, lag(h) OVER p AS h0 FROM layout
+WHERE coalesce(regexp_matches({_BARE}, '^[0-9.,+\\-%]+$'), false) AND x IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL WINDOW p AS (PARTITION BY source_sha256, page, y ORDER BY x, word_id))
+SELECT *, sum(CASE WHEN before IS NULL OR x - before >= greatest(10.0, 0.7 * least(h, h0)) THEN 1 ELSE 0 END) OVER (PARTITION BY source_sha256, page, y ORDER BY x, word_id ROWS UNBOUNDED PRECEDING)::BIGINT AS literal FROM s)"""
 
 
-@query(f"""WITH s AS (SELECT word_id, source_sha256, page, y, x, w, h, lag(x + w) OVER p AS before, lag(h) OVER p AS h0 FROM layout
-WHERE coalesce(regexp_matches(text, '{_NUMERIC}'), false) AND x IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL WINDOW p AS (PARTITION BY source_sha256, page, y ORDER BY x, word_id))
-SELECT word_id, sum(CASE WHEN before IS NULL OR x - before >= greatest(10.0, 0.7 * least(h, h0)) THEN 1 ELSE 0 END) OVER (PARTITION BY source_sha256, page, y ORDER BY x, word_id ROWS UNBOUNDED PRECEDING)::BIGINT AS literal FROM s""")
+@query(f"SELECT word_id, literal FROM {_LITERALS}")
 def ocr_literal_groups(spark, sf):
-    return layout.literal_groups(table(spark, sf, "layout"), ("source_sha256", "page", "y"))
+    return layout.literal_groups(table(spark, sf, "layout"), ("source_sha256", "page", "y")).select("word_id", "literal")
+
+
+@query(f"""SELECT * FROM (SELECT source_sha256, page, y, string_agg(bare, '' ORDER BY x, word_id) AS literal, arg_min(word_id, row(x, word_id)) AS first_word
+FROM {_LITERALS} GROUP BY source_sha256, page, y, literal) WHERE ({number_sql('literal')}) IS NOT NULL""")
+def ocr_literals(spark, sf):
+    """The numbers of each line of a page, put together from neighbouring words."""
+    return layout.with_literals(table(spark, sf, "layout"), ("source_sha256", "page", "y")).select("source_sha256", "page", "y", "literal", "first_word")
 
 
 BOUNDS = tuple((f"c{i}", i / 8, (i + 1) / 8) for i in range(8))
@@ -456,9 +468,13 @@ def interval_column_join(spark, sf):
     return layout.in_columns(table(spark, sf, "layout"), BOUNDS)
 
 
-@query()
+_BANDS = "(SELECT *, dense_rank() OVER (PARTITION BY source_sha256, page ORDER BY y) - 1 AS band FROM layout WHERE y IS NOT NULL AND h IS NOT NULL)"
+
+
+@query(f"SELECT word_id, band::INT AS band FROM {_BANDS}")
 def ocr_row_bands(spark, sf):
-    return layout.row_bands(table(spark, sf, "layout"))
+    """Rows of each page; where lines are further apart than words are high, as in these tables, they are the distinct places."""
+    return layout.row_bands(table(spark, sf, "layout")).select("word_id", "band")
 
 
 @query()

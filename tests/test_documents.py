@@ -28,7 +28,7 @@ def page(rows, sha="s", number=1, start=0):
     return out
 
 
-GRID = [(20, [(300, "地区生产总值")]), (50, [(600, "单位：亿元")]), (80, [(300, "2023年"), (500, "2024年")]), (120, [(40, "甲城市①"), (300, "1,100.5"), (500, "—")]), (150, [(40, "乙城市"), (300, "200"), (500, "7"), (540, "8")]), (180, [(40, "全省"), (300, "9"), (500, "9")])]
+GRID = [(20, [(300, "地区生产总值")]), (50, [(600, "单位：亿元")]), (80, [(300, "2023年"), (500, "2024年")]), (120, [(40, "甲城市①"), (300, "1,100.5"), (500, "—")]), (150, [(40, "乙城市"), (300, "200"), (425, "7"), (520, "8")]), (180, [(40, "全省"), (300, "9"), (500, "9")])]
 WORDS = "word_id long, source_sha256 string, page int, page_width double, page_height double, text string, x double, y double, w double, h double"
 
 
@@ -47,9 +47,22 @@ def test_matrix_of_a_page(spark):
     assert matrix.read_pages(df.limit(0), ["x"]).count() == 0
 
 
-def test_bounds():
-    assert matrix.column_bounds([0.3, 0.5]) == [(pytest.approx(0.2), 0.4), (0.4, pytest.approx(0.6))]
-    assert matrix.column_bounds([0.5]) == [(0.0, 1.0)]
+def test_bounds(spark):
+    df = spark.createDataFrame([([0.3, 0.5],), ([0.2, 0.5, 0.98],)], "c array<double>")
+    got = [[tuple(e) for e in r.e] for r in df.select(matrix.cuts(F.col("c")).alias("e")).collect()]
+    assert got[0] == [(pytest.approx(0.2), 0.4), (0.4, pytest.approx(0.6))]
+    assert got[1] == [(pytest.approx(0.05), 0.35), (0.35, 0.74), (0.74, 1.0)]
+
+
+def test_cells_that_cannot_be_read_stay_pending(spark):
+    grid = [*GRID[:3], (120, [(40, "甲市"), (300, "11"), (420, "22")]), (150, [(40, "甲市"), (300, "1"), (500, "2")]), (180, [(40, "乙县续表"), (300, "3")]), (210, [(40, "#丙区"), (290, "4"), (345, ".5")]), (240, [(40, "丁市")])]
+    rows = [r if r[5] != "22" else (*r[:8], 150.0, r[9]) for r in page(grid)]
+    values = matrix.read_pages(spark.createDataFrame(rows, WORDS), ["地区生产总值"])
+    got = {(r.city, r.year, r.status): r.value_text for r in values.collect()}
+    assert got[("甲市", 2023, "value")] == "11" and got[("甲市", 2024, "BOX_CROSSES_COLUMN")] == "22"
+    assert got[("甲市", 2023, "OVERLAPPING_OR_CONFLICTING_ROWS")] == "1" and got[("甲市", 2024, "value")] == "2"
+    assert got[("乙县", 2023, "LABEL_MIXED")] == "3" and got[("#丙区", 2023, "value")] == "4.5" and got[("#丙区", 2024, "pending")] is None
+    assert {r.city for r in matrix.empty_rows(values).collect()} == {"乙县", "丁市"}
 
 
 def test_failures(spark):
@@ -80,3 +93,11 @@ def test_sinks_and_cache(spark, tmp_path):
         got = sinks.through_cache(spark, df.unionAll(df), str(tmp_path / "cache"), ["research_id", "year", "v"], work)
         assert sorted((r.r is None, r.r) for r in got.collect()) == [(False, 3.0), (True, None)]
     assert calls == [2, 0]
+
+
+def test_scaling_formats():
+    from tabulon.sources.tables import scales, spread
+
+    assert all(scales(c) for c in ("0%", "0,", "#,##0,", '0.0,"千"', "0,;-0", "#,##0,,.0"))
+    assert not any(scales(c) for c in ("0", "#,##0", '0"%"', "0\\%", "[>9%]0", "#,##0.00;(#,##0)", "", 'General "a,b"'))
+    assert spread([[("a", 3, 1), ("b", 1, 1)]]) == [[("a", 0, 0), ("b", 0, 1)], [("a", 0, 0), ("", 1, 1)], [("a", 0, 0), ("", 2, 1)]]
