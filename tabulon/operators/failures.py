@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Code, category, whether it may be tried again.
 CLASSES: tuple[tuple[str, str, bool], ...] = (
-    ("HOST_DEFERRED", "network", True),
+    ("HOST_DEFERRED", "network", False),
     ("DNS_ERROR", "network", True),
     ("TLS_CERTIFICATE_ERROR", "network", False),
     ("TLS_HANDSHAKE_TIMEOUT", "network", True),
@@ -23,12 +23,14 @@ CLASSES: tuple[tuple[str, str, bool], ...] = (
     ("NO_PANEL_ROWS", "parse", False),
     ("PARSING_OR_CONFIGURATION_ERROR", "parse", False),
 )
+#: Answers of a server after which a request may be made again.
+AGAIN = (408, 429, 500, 502, 503, 504)
 
 
 def classified(code: Column) -> Column:
-    """struct(category, retryable) of a failure code; HTTP_n is a network failure, worth a retry from 500 on; others are parse failures."""
+    """struct(category, retryable) of a failure code; HTTP_n is a network failure, to be tried again for the codes in ``AGAIN``; others are parse failures."""
     status = F.regexp_extract(code, "^HTTP_([0-9]{3})$", 1).try_cast("int")
-    out = F.when(code.isNull(), F.lit(None)).when(status.isNotNull(), F.struct(F.lit("network").alias("category"), (status >= 500).alias("retryable")))
+    out = F.when(code.isNull(), F.lit(None)).when(status.isNotNull(), F.struct(F.lit("network").alias("category"), status.isin(*AGAIN).alias("retryable")))
     for c, category, retry in CLASSES:
         out = out.when(code == c, F.struct(F.lit(category).alias("category"), F.lit(retry).alias("retryable")))
     return out.otherwise(F.struct(F.lit("parse").alias("category"), F.lit(False).alias("retryable")))

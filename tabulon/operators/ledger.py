@@ -47,3 +47,12 @@ def pairs(df: DataFrame, label: str, order: Sequence[str], kind: str, start: str
     w = Window.partitionBy(label).orderBy(*order)
     both = df.where(F.col(kind).isin(start, end)).withColumn("next_kind", F.lead(kind).over(w)).withColumn("next_at", F.lead(order[0]).over(w))
     return both.where(F.col(kind) == start).withColumn("ended_at", F.when(F.col("next_kind") == end, F.col("next_at"))).drop("next_kind", "next_at")
+
+
+def sessions(df: DataFrame, key: str, order: Sequence[str], idle: int) -> DataFrame:
+    """(key, sessions, longest): sessions of each key, ended by more than ``idle`` without an event, and the most events of one."""
+    w = Window.partitionBy(key).orderBy(*order)
+    gap = F.col(order[0]) - F.lag(order[0]).over(w)
+    rows = df.withColumn("_new", F.when(gap.isNull() | (gap > idle), 1).otherwise(0))
+    rows = rows.withColumn("_session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(key, "_session").agg(F.count("*").alias("n")).groupBy(key).agg(F.max("_session").alias("sessions"), F.max("n").alias("longest"))

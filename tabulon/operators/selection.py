@@ -52,13 +52,13 @@ def scope_allowed(rules: dict[str, Sequence[str] | None], default: Sequence[str]
     return out
 
 
-def decisions(reviews: DataFrame) -> DataFrame:
-    """One row for each record_id: its decision if there is one decision, and how many different ones.
+def decisions(reviews: DataFrame, *also: str) -> DataFrame:
+    """One row for each record_id: its decision (with the columns ``also``) if there is one decision, and how many different ones.
 
     The same decision repeated is one. Combined before the shuffle; several
     decisions leave ``n_decisions`` above one and no decision counts.
     """
-    same = F.struct("decision", "source_sha256", "reviewer", "reason")
+    same = F.struct("decision", "source_sha256", "reviewer", "reason", *also)
     return (
         reviews.where("record_id is not null and record_id <> ''")
         .groupBy("record_id")

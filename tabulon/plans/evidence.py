@@ -19,7 +19,8 @@ TOTALS = ("全省", "全国", "合计", "总计", "省合计", "Total")
 MISSING = ("", "—", "–", "..", "...", "N/A", "NA", "未公布", "不详")
 FIRST, LAST = 2014, 2022
 RULES = ({"source_class": "yearbook", "geographic_scope": "全市"}, {"source_class": "communique"}, {"source_class": "government_document"})
-UNITS = ("万亿元", "亿元", "万元", "元", "万人", "亿千瓦时", "万千瓦时", "千瓦时", "万吨标准煤", "平方公里", "%", "‰")
+# Units in the order in which they are looked for.
+UNITS = ("万吨标准煤", "亿千瓦时", "万千瓦时", "万亿元", "亿元", "万元", "万人", "千瓦时", "吨标准煤", "人", "%")
 PHASES = ("click", "view", "purchase", "signup", "logout", "other")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,16 +102,18 @@ def unit_detect(spark, sf):
     return table(spark, sf, "candidates").select("row_id", first.alias("unit"))
 
 
-@query("""SELECT row_id, CASE WHEN contains(indicator, '能源') THEN contains(unit, '标准煤') WHEN contains(indicator, '用电') THEN contains(unit, '千瓦时')
-WHEN contains(indicator, '人口') AND NOT contains(indicator, '率') THEN contains(unit, '人') WHEN contains(indicator, '率') THEN unit IN ('%', '‰') ELSE true END AS compatible
+# What a part of an indicator's name asks of its unit, unless it is a rate.
+COMPATIBLE = (("能源消费", ("万吨标准煤", "吨标准煤")), ("用电量", ("亿千瓦时", "万千瓦时", "千瓦时")), ("人口", ("万人", "人")))
+
+
+@query("SELECT row_id, coalesce(CASE WHEN contains(indicator, '增长率') OR contains(indicator, '城镇化率') THEN unit = '%' WHEN contains(indicator, '率') THEN true " + " ".join(f"WHEN contains(indicator, '{k}') THEN unit IN ({listed(u)})" for k, u in COMPATIBLE) + """ ELSE true END, true) AS compatible
 FROM candidates WHERE unit IS NOT NULL""")
 def unit_compatibility(spark, sf):
     i, u = F.col("indicator"), F.col("unit")
-    ok = (
-        F.when(i.contains("能源"), u.contains("标准煤")).when(i.contains("用电"), u.contains("千瓦时"))
-        .when(i.contains("人口") & ~i.contains("率"), u.contains("人")).when(i.contains("率"), u.isin("%", "‰")).otherwise(True)
-    )
-    return table(spark, sf, "candidates").where("unit is not null").select("row_id", ok.alias("compatible"))
+    ok = F.when(i.contains("增长率") | i.contains("城镇化率"), u == "%").when(i.contains("率"), True)
+    for part, units in COMPATIBLE:
+        ok = ok.when(i.contains(part), u.isin(*units))
+    return table(spark, sf, "candidates").where("unit is not null").select("row_id", F.coalesce(ok.otherwise(True), F.lit(True)).alias("compatible"))
 
 
 _LABEL = r"^#?([一-鿿]{2,}(?:自治州|地区|市|县|区|盟|旗))[①-⑤*]*$"
@@ -424,15 +427,19 @@ def bounded_traversal(spark, sf):
     return planning.traverse(edges, seeds, 2)
 
 
-_GDP = r"地区生产总值(?:为|达到)?([0-9]+(?:\.[0-9]+)?)亿元"
+def _rule_sql(pattern: str) -> str:
+    """Values that a rule's pattern finds, in order; a forbidden prefix is matched and left out instead."""
+    p = pattern.replace("(?<!人均)", "(?:人均)?").replace(r"\s", _WHITE).replace("(?P<value>", "(")
+    p = p.replace("(?P<unit>", "(?:").replace("(?P<direction>", "(?:").replace("'", "''")
+    whole = f"list_filter(regexp_extract_all(text, '{p}', 0), lambda m: NOT starts_with(m, '人均'))"
+    return f"list_filter(list_transform({whole}, lambda m: regexp_extract(m, '{p}', 1)), lambda v: regexp_full_match(v, '[+-]?([0-9]{{1,3}}(,[0-9]{{3}})+|[0-9]+)([.][0-9]+)?'))"
 
 
-@query(f"""SELECT doc_id, len(regexp_extract_all(text, '{_GDP}', 1)) AS mentions, try_cast(list_extract(regexp_extract_all(text, '{_GDP}', 1), 1) AS DOUBLE) AS first_value
-FROM documents WHERE regexp_matches(text, '{_GDP}')""")
+@query("SELECT doc_id, rule, len(v) AS mentions, abs(try_cast(replace(v[1], ',', '') AS DOUBLE)) AS first_size FROM (" + " UNION ALL ".join(f"SELECT doc_id, '{rule}' AS rule, {_rule_sql(pattern)} AS v FROM documents" for rule, _, pattern in prose.RULES) + ") WHERE len(v) > 0")
 def prose_rules(spark, sf):
-    found = F.regexp_extract_all("text", F.lit(_GDP), F.lit(1))
-    rows = table(spark, sf, "documents").where(F.col("text").rlike(_GDP))
-    return rows.select("doc_id", F.size(found).cast("long").alias("mentions"), F.try_element_at(found, F.lit(1)).try_cast("double").alias("first_value"))
+    """How often each rule matches in each document, and the size of the first value."""
+    found = prose.prose_mentions(table(spark, sf, "documents"), "doc_id")
+    return found.groupBy("doc_id", "rule").agg(F.count("*").alias("mentions"), F.abs(F.min(F.struct("char_start", "value"))["value"]).alias("first_size"))
 
 
 @query("SELECT word_id FROM layout WHERE confidence IS NULL OR confidence < 0.85")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import orphans, units
-from .plans import evidence
+from .plans import evidence, publication  # noqa: F401 - registers its queries with those of evidence
 from .tables import table
 
 
