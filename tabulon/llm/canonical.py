@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import written
-from .forms import Rewriter, representatives
+from .forms import Rewriter
 
 THRESHOLD, MARGIN = 0.1, 0.02
 # Endings of the kinds of places a list like this holds, longest first; and of kinds it doesn't.
@@ -141,6 +141,38 @@ def accept(kind: str, core: str, ending: str, entry: str, used: frozenset[str])
     return how == "swap" or len(core) >= 2
 
 
+def _in(c: str, encoding: str) -> bool:
+    try:
+        c.encode(encoding)
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def traditional(cores: DataFrame) -> dict[str, str]:
+    """Traditional character -> the simplified one it stands for, as the spellings (entry, core) of a list show it.
+
+    A character outside GB 2312 that Big5 has stands for the character of GB
+    2312 that most spellings of the entry have at its place; over several
+    entries the one seen in most of them counts. So no typing error among
+    ordinary characters makes two of them one, and nothing is united
+    transitively. Characters are counted by place: no two spellings are
+    compared, however many an entry has.
+    """
+    each = cores.select("entry", F.length("core").alias("n"), F.posexplode(F.split("core", "")).alias("at", "c")).where("c <> ''")
+    seen = each.groupBy("entry", "n", "at", "c").agg(F.count("*").alias("k"))
+    kinds = [(r.c, _in(r.c, "gb2312")) for r in seen.select("c").distinct().collect()]  # at most the characters there are
+    if not any(simple for _, simple in kinds):
+        return {}
+    kinds = cores.sparkSession.createDataFrame([(c, simple) for c, simple in kinds if simple or _in(c, "big5")], "c string, simple boolean")
+    seen = seen.join(F.broadcast(kinds), "c")
+    place = ["entry", "n", "at"]
+    usual = seen.where("simple").groupBy(*place).agg(F.max(F.struct("k", "c"))["c"].alias("usual"))
+    pairs = seen.where("not simple").join(usual, place).groupBy("c", "usual").agg(F.count_distinct("entry").alias("entries"), F.sum("k").alias("k"))
+    best = pairs.groupBy("c").agg(F.max(F.struct("entries", "k", "usual"))["usual"].alias("usual"))
+    return {r.c: r.usual for r in best.collect()}
+
+
 def canonical_values(
     df: DataFrame, value: str, reference: DataFrame, provinces: list[str], threshold: float = THRESHOLD, margin: float = MARGIN
 ) -> DataFrame:
@@ -171,13 +203,8 @@ def canonical_values(
     schema = "entry string, spelling string, kind string, core string, ending string, grams array<string>"
     given = reference.where("spelling is not null and spelling <> ''").select("entry", "spelling").distinct()
     given = written(given, "reference")
-    # characters that stand for one another in spellings of one entry, such as traditional ones
     plain = given.mapInArrow(reader({}, True), schema).where("kind = 'han' and ending not in ('" + "','".join(_OTHER) + "')").select("entry", "core").distinct()
-    twin = plain.select("entry", F.col("core").alias("twin"))
-    each = plain.join(twin, "entry").where("core < twin and length(core) = length(twin)").select(F.explode(F.arrays_zip(F.split("core", "").alias("x"), F.split("twin", "").alias("y"))).alias("p"))
-    pairs = [(r.x, r.y) for r in each.select("p.x", "p.y").where("x <> y").distinct().collect()]  # pairs of characters, not of entries
-    counts = {r.c: r["count"] for r in plain.select("entry", F.explode(F.split("core", "")).alias("c")).groupBy("c").count().collect()}
-    same = representatives(pairs, counts)
+    same = traditional(plain)
     listed = given.mapInArrow(reader(same, True), schema)
     index = listed.groupBy("kind", "core").agg(F.min("entry").alias("entry"), F.max("entry").alias("top"), F.first("grams").alias("grams")).where("entry = top").drop("top")
     index = written(index, "index")

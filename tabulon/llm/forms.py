@@ -254,14 +254,16 @@ def frequencies(df: DataFrame, text: str) -> dict[str, int]:
     return {r.c: r.n for r in df.select(text).mapInArrow(run, "c string, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()}
 
 
-def consistent_forms(df: DataFrame, key: list[str], text: str) -> DataFrame:
+def consistent_forms(df: DataFrame, key: list[str], text: str, counts: dict[str, int] | None = None) -> DataFrame:
     """``key``, ``text``, ``form`` and ``changed`` for every row of ``df``.
 
     ``form`` is the text in its consistent form; null stays null and is not
     changed, empty stays empty. Repeated rows stay repeated, texts of any
-    length are rewritten whole, other columns are dropped.
+    length are rewritten whole, other columns are dropped. ``counts`` are the
+    frequencies that choose the representatives, for fields that must come in
+    the same form; without them those of this field.
     """
-    counts = frequencies(df, text)
+    counts = frequencies(df, text) if counts is None else counts
     sent, name = df.sparkSession.sparkContext.broadcast(counts), repr(sorted(counts.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.skew import join_unique
 from ..tables import table, written
 from .canonical import canonical_values
-from .forms import consistent_forms
+from .forms import consistent_forms, frequencies
 from .leaks import leak_report, leaked_spans
 from .mojibake import garbled_rows
 from .representatives import Representatives
@@ -29,9 +29,14 @@ FORMS = (("layout", "word_id", "text"), ("candidates", "row_id", "city"), ("cand
 
 
 def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = None
+    for name, _, field in FORMS:
+        one = table(spark, sf_dir, name).select(F.col(field).alias("text"))
+        texts = one if texts is None else texts.unionByName(one)
+    counts = frequencies(texts, "text")  # one count, so that all fields come in one form
     out = None
     for name, key, field in FORMS:
-        one = consistent_forms(table(spark, sf_dir, name), [key], field)
+        one = consistent_forms(table(spark, sf_dir, name), [key], field, counts)
         one = one.select(F.lit(f"{name}.{field}").alias("field"), F.col(key).alias("row_id"), "form", "changed")
         out = one if out is None else out.unionByName(one)
     return out
@@ -68,6 +73,11 @@ def p6_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Representatives(table(spark, sf_dir, "candidates")).values()
 
 
+def p6_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the quality model is fitted on: the patterns of sources that state a value or leave it out."""
+    return Representatives(table(spark, sf_dir, "candidates")).patterns()
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id")
 
@@ -96,9 +106,18 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(spark, sf_dir).shared().select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), "shared_chars", "links")
 
 
-QUERIES = {f.__name__: f for f in (p1_titles, p1_found, p2_forms, p2_found, p4_values, p4_found, p6_found, p6_records, p6_values, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_titles, p1_found, p2_forms, p2_found, p4_values, p4_found, p6_found, p6_records, p6_values, p6_patterns, p7_ids, p8_found, p8_leaked, p9_found, p9_shared)}
+
+_BIT = "CASE source_class WHEN 'yearbook' THEN 1 WHEN 'communique' THEN 2 WHEN 'government_document' THEN 4 ELSE 8 END"
 
 SQL: dict[str, str] = {
+    "p6_patterns": f"""
+WITH m AS (SELECT batch_id, research_id, year, indicator, geographic_scope, value, {_BIT} AS b FROM candidates WHERE research_id IS NOT NULL AND withdrawn_at IS NULL),
+g AS (SELECT batch_id, research_id, year, indicator, geographic_scope, bit_or(b) AS everyone, count(*) AS n FROM m GROUP BY ALL),
+s AS (SELECT batch_id, research_id, year, indicator, geographic_scope, value, bit_or(b) AS says FROM m WHERE value IS NOT NULL GROUP BY ALL)
+SELECT says, everyone & ~says AS lacks, count(*) AS values FROM s JOIN g ON s.batch_id IS NOT DISTINCT FROM g.batch_id AND s.research_id = g.research_id AND s.year IS NOT DISTINCT FROM g.year
+AND s.indicator IS NOT DISTINCT FROM g.indicator AND s.geographic_scope IS NOT DISTINCT FROM g.geographic_scope WHERE n > 1 GROUP BY 1, 2
+""",
     "p6_found": """
 SELECT row_id FROM (
   SELECT row_id, value,

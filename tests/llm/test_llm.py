@@ -357,6 +357,16 @@ def test_values_find_their_entries(spark):
     assert {r.value: r.entry for r in got} == means
 
 
+def test_typing_errors_make_no_characters_one(spark):
+    ref = [("1", "琅飒市"), ("2", "萨白市"), ("3", "飒白市"), ("1", "琅萨市"), ("1", "琅萨市"), ("4", "钧泠梓地区"), ("4", "鈞泠梓地区"), ("5", "钧麓市"), ("5", "鈞麓市"), ("4", "鈞冷梓地区")]
+    means = {"萨白市": "2", "飒白市": "3", "琅飒市": "1", "琅萨市": "1", "鈞泠梓": "4", "鈞麓": "5"}
+    df = spark.createDataFrame([(v,) for v in means], "city string")
+    got = canonical.canonical_values(df, "city", spark.createDataFrame(ref, "entry string, spelling string"), []).collect()
+    assert {r.value: r.entry for r in got} == means
+    cores = spark.createDataFrame([("1", "琅飒"), ("1", "琅萨"), ("4", "钧泠梓"), ("4", "鈞泠梓")], "entry string, core string")
+    assert canonical.traditional(cores) == {"鈞": "钧"} and canonical.traditional(cores.limit(0)) == {}
+
+
 def test_reference_may_be_empty(spark):
     none = spark.createDataFrame([], "entry string, spelling string")
     df = spark.createDataFrame([("蔚菱鹿市",)], "city string")
