@@ -116,27 +116,41 @@ class Automaton:
         return new
 
 
-def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int, held: list[tuple] | None = None) -> tuple[set[tuple[int, int]], dict[int, list[tuple[int, int]]]]:
+def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int, held: list[tuple] | None = None) -> tuple[set[tuple[int, ...]], dict[int, list[tuple[int, int]]]]:
     """Which texts of a shard share ``min_chars`` characters around the anchor, and where.
 
-    ``texts``: (text, place of the anchor). Returns the pairs of indices, and
-    for each index the spans, as (start, end), that another text holds.
-    ``held``: the least and greatest record of each text; what one record alone
-    holds, at two of its places, is then not shared.
+    ``texts``: (text, place of the anchor). Returns the groups of indices that
+    share a span, each group once, and for each index the spans, as (start,
+    end), that another text holds. ``held``: the least and greatest record of
+    each text; what one record alone holds, at two of its places, is then not
+    shared. Texts whose anchors have different characters, which only their
+    hash has in common, share nothing.
     """
+    groups: set[tuple[int, ...]] = set()
+    spans: dict[int, list[tuple[int, int]]] = {}
+    by_anchor: dict[str, list[int]] = {}
+    for n, (text, off) in enumerate(texts):
+        by_anchor.setdefault(text[off : off + k], []).append(n)
+    for same in by_anchor.values():
+        if len(same) > 1:
+            _shared_around([(n, *texts[n]) for n in same], k, min_chars, held, groups, spans)
+    return groups, spans
+
+
+def _shared_around(texts: list[tuple[int, str, int]], k: int, min_chars: int, held: list[tuple] | None, groups: set[tuple[int, ...]], spans: dict[int, list[tuple[int, int]]]) -> None:
+    """As ``shared_in_shard`` for texts (index, text, place) with one anchor; adds to ``groups`` and ``spans``."""
     sam, ends = Automaton(), []
-    for text, off in texts:
+    for n, text, off in texts:
         sam.last = 0
         for c in text[:off]:
             sam.add(c, 1)
         mine = [(sam.add(None, k), off + k)]
         for i in range(off + k, len(text)):
-            state = sam.add(text[i], 1)
-            mine.append((state, i + 1))
-        ends.append(mine)
+            mine.append((sam.add(text[i], 1), i + 1))
+        ends.append((n, mine))
     link, size = sam.link, sam.size
     reached: dict[int, list[tuple[int, int]]] = {}
-    for n, mine in enumerate(ends):
+    for n, mine in ends:
         for state, end in mine:
             if end < min_chars:
                 continue
@@ -144,20 +158,17 @@ def shared_in_shard(texts: list[tuple[str, int]], k: int, min_chars: int, held:
                 state = link[state]
             if size[state] >= min_chars:
                 reached.setdefault(state, []).append((n, end))
-    pairs: set[tuple[int, int]] = set()
-    spans: dict[int, list[tuple[int, int]]] = {}
     for hits in reached.values():
         who = sorted({n for n, _ in hits})
         if len(who) < 2 or held is not None and min(held[n][0] for n in who) == max(held[n][1] for n in who):
             continue
-        pairs.update((x, y) for i, x in enumerate(who) for y in who[i + 1 :])
+        groups.add(tuple(who))
         for n, end in hits:
             mine = spans.setdefault(n, [])
             if mine and mine[-1][1] >= end - min_chars:
                 mine[-1] = (min(mine[-1][0], end - min_chars), max(end, mine[-1][1]))
             else:
                 mine.append((end - min_chars, end))
-    return pairs, spans
 
 
 class SharedSpans:
@@ -216,15 +227,15 @@ class SharedSpans:
 
         def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def flush(h, rows):
-                pairs, spans = shared_in_shard([(r["around"], r["off"]) for r in rows], k, least, [(r["p"], r["q"]) for r in rows])
-                for x, y in pairs:
-                    out.append((h, rows[x]["c1"], rows[x]["c2"], rows[y]["c1"], rows[y]["c2"], None, None))
+                groups, spans = shared_in_shard([(r["around"], r["off"]) for r in rows], k, least, [(r["p"], r["q"]) for r in rows])
+                for g, who in enumerate(sorted(groups)):
+                    out.extend((h, rows[n]["c1"], rows[n]["c2"], g, None, None) for n in who)
                 for n, mine in spans.items():
-                    out.extend((h, rows[n]["c1"], rows[n]["c2"], None, None, a, b) for a, b in mine)
+                    out.extend((h, rows[n]["c1"], rows[n]["c2"], None, a, b) for a, b in mine)
 
             def emit():
-                cols = list(zip(*out)) if out else [()] * 7
-                got = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.int32()] * 2)], names=["h", "a1", "a2", "b1", "b2", "x", "y"])
+                cols = list(zip(*out)) if out else [()] * 6
+                got = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.int32()] * 3)], names=["h", "a1", "a2", "g", "x", "y"])
                 out.clear()
                 return got
 
@@ -243,7 +254,7 @@ class SharedSpans:
                 flush(now, rows)
             yield emit()
 
-        small = kinds.where("not large").select("h", "c1", "c2", "around", "off", "p", "q").repartition("h").sortWithinPartitions("h").mapInArrow(shards, "h long, a1 long, a2 long, b1 long, b2 long, x int, y int")
+        small = kinds.where("not large").select("h", "c1", "c2", "around", "off", "p", "q").repartition("h").sortWithinPartitions("h").mapInArrow(shards, "h long, a1 long, a2 long, g int, x int, y int")
 
         def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -259,23 +270,67 @@ class SharedSpans:
         # a window counts if two texts and two records hold it, as in the smaller shards
         kind = F.struct("a1", "a2")
         again = cut.groupBy("h", "w1", "w2").agg(F.min(kind).alias("a"), F.max(kind).alias("b"), F.min("p").alias("p"), F.max("q").alias("q")).where("a < b and p < q").select("h", "w1", "w2")
-        large = written(cut.drop("p", "q").join(again, ["h", "w1", "w2"]), "windows")
-        other = large.select("h", "w1", "w2", F.col("a1").alias("b1"), F.col("a2").alias("b2"))
-        met = large.join(other, ["h", "w1", "w2"]).where("a1 < b1 or (a1 = b1 and a2 < b2)").select("h", "a1", "a2", "b1", "b2").distinct()
+        #: (h, a1, a2, w1, w2, x): the shared windows of large shards, and (h, a1, a2, g): the sharing groups of small ones.
+        self.windows = written(cut.drop("p", "q").join(again, ["h", "w1", "w2"]), "windows")
         small = written(small, "shards")
-        self.kind_pairs = small.where("b1 is not null").select("h", "a1", "a2", "b1", "b2").unionByName(met)
-        self.kind_spans = small.where("x is not null").select("h", "a1", "a2", "x", "y").unionByName(large.select("h", "a1", "a2", "x", (F.col("x") + size).alias("y")))
+        self.groups = small.where("g is not null").select("h", "a1", "a2", "g")
+        self.kind_spans = small.where("x is not null").select("h", "a1", "a2", "x", "y").unionByName(self.windows.select("h", "a1", "a2", "x", (F.col("x") + size).alias("y")))
 
     def links(self) -> DataFrame:
-        """``a, b`` (a < b): representatives whose texts share a span, each pair once."""
+        """``a, b`` (a < b): representatives whose texts share a span, each pair once. As many as there are pairs: see ``degrees`` for counts."""
+
+        def met(kinds: DataFrame, on: list[str]) -> DataFrame:
+            other = kinds.select(*on, F.col("a1").alias("b1"), F.col("a2").alias("b2"))
+            return kinds.join(other, on).where("a1 < b1 or (a1 = b1 and a2 < b2)").select("h", "a1", "a2", "b1", "b2")
+
+        pairs = met(self.groups, ["h", "g"]).unionByName(met(self.windows.select("h", "a1", "a2", "w1", "w2"), ["h", "w1", "w2"])).distinct()
         m = self.contexts.select("h", "c1", "c2", "doc")
         left = m.select("h", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("doc").alias("a"))
         right = m.select("h", F.col("c1").alias("b1"), F.col("c2").alias("b2"), F.col("doc").alias("b"))
-        across = self.kind_pairs.join(left, ["h", "a1", "a2"]).join(right, ["h", "b1", "b2"]).select("a", "b")
+        across = pairs.join(left, ["h", "a1", "a2"]).join(right, ["h", "b1", "b2"]).select("a", "b")
         full = self.contexts.where(F.length("around") >= self.min_chars).select("h", "c1", "c2", "doc")
         inside = full.select("h", "c1", "c2", F.col("doc").alias("a")).join(full.select("h", "c1", "c2", F.col("doc").alias("b")), ["h", "c1", "c2"]).select("a", "b")
         return across.unionByName(inside).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def classes(self) -> DataFrame:
+        """``doc, span``: the representatives that hold each shared span, spans with the same holders once.
+
+        A span is known by its holders: their number and the sum of their
+        hashes. Linear in the places where spans are shared.
+        """
+        kind = self.contexts.select("h", F.col("c1").alias("a1"), F.col("c2").alias("a2"), "doc", F.length("around").alias("n"))
+        one = F.lit(0).cast("long")
+        groups = self.groups.join(kind, ["h", "a1", "a2"]).select(F.lit(0).alias("t"), "h", F.col("g").cast("long").alias("u"), one.alias("v"), "doc")
+        windows = self.windows.select("h", "a1", "a2", "w1", "w2").join(kind, ["h", "a1", "a2"]).select(F.lit(1).alias("t"), one.alias("h"), F.col("w1").alias("u"), F.col("w2").alias("v"), "doc")
+        whole = kind.where(F.col("n") >= self.min_chars).select(F.lit(2).alias("t"), "h", F.col("a1").alias("u"), F.col("a2").alias("v"), "doc")
+        held = written(groups.unionByName(windows).unionByName(whole).distinct(), "held")
+        span = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(20,0)")).cast("string").alias("s"))
+        known = held.groupBy("t", "h", "u", "v").agg(span.alias("span")).where("span.n > 1")
+        return written(held.join(known, ["t", "h", "u", "v"]).select("doc", "span").distinct(), "classes")
+
+    def degrees(self) -> DataFrame:
+        """``doc, links``: with how many other representatives each one shares a span.
+
+        Spans of up to ``SHARD`` holders are expanded into pairs. Of those with
+        more, the holders are counted: representatives with the same set of
+        such spans are one combination, and a representative is linked to all
+        of every combination that has a span of its own. So no pairs are made
+        within a large class.
+        """
+        classes = self.classes()
+        often = classes.where(F.col("span.n") > SHARD).groupBy("doc").agg(F.array_sort(F.collect_set("span")).alias("set"))
+        often = written(often, "often")
+        combos = often.groupBy("set").agg(F.count("*").alias("m"))
+        each = combos.select("set", "m", F.explode("set").alias("span"))
+        near = each.select(F.col("set"), "span").join(each.select(F.col("set").alias("other"), "m", "span"), "span").select("set", "other", "m").distinct()
+        many = often.join(near.groupBy("set").agg((F.sum("m") - 1).alias("many")), "set").select("doc", "many")
+        few = classes.where(F.col("span.n") <= SHARD)
+        pairs = few.join(few.withColumnRenamed("doc", "other"), "span").where("doc <> other").select("doc", "other").distinct()
+        pairs = pairs.join(often.select("doc", "set"), "doc", "left").join(often.select(F.col("doc").alias("other"), F.col("set").alias("set2")), "other", "left")
+        apart = ~F.coalesce(F.arrays_overlap("set", "set2"), F.lit(False))
+        some = pairs.where(apart).groupBy("doc").agg(F.count("*").alias("some"))
+        return many.join(some, "doc", "full").select("doc", (F.coalesce("many", F.lit(0)) + F.coalesce("some", F.lit(0))).alias("links"))
+
     def pairs(self) -> DataFrame:
         """``doc_id_a, doc_id_b``: all pairs of records, copies expanded."""
         m = self.copies.select("doc", "rep")
@@ -302,8 +357,7 @@ class SharedSpans:
             lambda acc: acc["n"],
         )
         covered = spans.unionByName(whole).groupBy("doc").agg(length.cast("long").alias("covered"))
-        links = self.links()
-        degree = links.select(F.col("a").alias("doc")).unionByName(links.select(F.col("b").alias("doc"))).groupBy("doc").agg(F.count("*").alias("links"))
+        degree = self.degrees()
         reps = covered.join(degree, "doc", "full")
         return (
             reps.withColumnRenamed("doc", "rep")

@@ -94,7 +94,13 @@ def test_shared_spans_equal_brute_force(spark, seed, shard, monkeypatch):
     got = [(r.doc_id_a, r.doc_id_b) for r in found.pairs().collect()]
     assert len(got) == len(set(got))
     assert set(got) == brute_pairs(texts, 20)
-    covered = {r.doc: r.shared_chars for r in found.shared().collect()}
+    rows = {r.doc: r for r in found.shared().collect()}
+    covered = {i: r.shared_chars for i, r in rows.items()}
+    distinct = {t: min(i for i, x in texts.items() if x == t) for t in texts.values() if t}
+    kinds = brute_pairs({i: t for t, i in distinct.items()}, 20)
+    for i, t in texts.items():
+        if t:
+            assert (rows[i].links if i in rows else 0) == sum(distinct[t] in p for p in kinds)
     for i, t in texts.items():
         others = {x[j : j + 20] for k, x in texts.items() if k != i and x for j in range(len(x) - 19)}
         marks = set()
@@ -119,6 +125,25 @@ def test_hot_copies_and_hot_boilerplate_stay_whole(spark):
     assert got == brute_pairs(dict(rows), 20)
 
 
+def test_links_of_a_hot_passage_are_counted_without_pairs(spark):
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    hot, warm, cold = make(60), make(45), make(30)
+    texts = {i: make(25) + hot + make(25) for i in range(90)} | {100 + i: make(25) + warm + make(9) + (hot if i < 3 else "") for i in range(80)} | {300 + i: make(20) + cold + make(5) + (warm if i == 0 else hot if i == 1 else "") for i in range(5)}
+    found = spans.SharedSpans(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", min_chars=20)
+    want = brute_pairs(texts, 20)
+    got = {r.doc: r.links for r in found.shared().collect()}
+    assert all(got.get(i, 0) == sum(i in p for p in want) for i in texts)
+    assert found.degrees().count() == len({i for p in want for i in p})
+
+
+def test_equal_hashes_of_different_anchors_share_nothing():
+    a, b = "x" * 5 + "anchor" + "y" * 20, "x" * 5 + "ANCHOR" + "y" * 20
+    assert spans.shared_in_shard([(a, 5), (b, 5)], 6, 10) == (set(), {})
+    groups, found = spans.shared_in_shard([(a, 5), (a, 5), (b, 5)], 6, 10)
+    assert groups == {(0, 1)} and set(found) == {0, 1}
+
+
 def test_windows_repeated_in_one_text_are_not_shared(spark, monkeypatch):
     rng = random.Random(2)
     make = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
