@@ -366,6 +366,32 @@ def test_garbled_rows(spark):
     assert mojibake.garbled_rows(df.limit(0), "capture_id", "document_title").count() == 0
 
 
+def test_scripts_of_few_titles_in_a_large_table_are_learnt(spark):
+    from pyspark.sql import functions as F
+
+    fill = [f"{n}{y}年第{i}号统计公报" for n in NAMES for y in range(2012, 2024) for i in range(200)]
+    greek = [f"Στατιστική επετηρίδα της περιφέρειας {i}" for i in range(200)]
+    hashed = spark.createDataFrame([(t,) for t in fill + greek], "t string").select("t", F.xxhash64("t").alias("h")).orderBy("h").collect()
+    rare = [r.t for r in hashed[12_000:] if r.t in set(greek)]  # not among the least hashes
+    bad = {mojibake.garble(f"Επετηρίδα της περιφέρειας {i}", chain): f"Επετηρίδα της περιφέρειας {i}" for i, chain in enumerate([mojibake.CHAINS[1], mojibake.CHAINS[13]] * 3)}
+    assert len(fill) == 24_000 and len(rare) > 50
+    df = spark.createDataFrame([(t,) for t in [*fill, *rare, *bad]], "document_title string")
+    assert {r.text: r.restored for r in mojibake.garbled(df, "document_title").collect()} == bad
+
+
+def test_the_model_of_a_table_is_that_of_all_its_titles(spark):
+    all_ = titles() + [mojibake.garble(t, chain) for t, chain in zip(titles()[::9], mojibake.CHAINS)] + ["蔚菱\ufffd市统计年鉴2019", "Plain 2019"]
+    rng = random.Random(6)
+    parts = [[], [], [], []]
+    for t in all_:
+        rng.choice(parts).append(t)
+    assert (sum(map(mojibake.counts, parts)) == mojibake.counts(all_)).all()
+    ends = [f"{n[:k]}{y}" for n in NAMES[:4] for k in (1, 2, 3) for y in (2, 20, 201)]
+    assert (sum(mojibake.counts([t]) for t in ends) == mojibake.counts(ends)).all()
+    got, want = mojibake.fitted(spark.createDataFrame([(t,) for t in set(all_)], "text string").repartition(5)), mojibake.Classifier.fit(all_)
+    assert (got.weights == want.weights).all() and (got.clean.pairs == want.clean.pairs).all() and (got.clean.triples == want.clean.triples).all()
+
+
 # -- reference lists --------------------------------------------------------
 
 
